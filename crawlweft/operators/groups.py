@@ -58,7 +58,8 @@ def rollup(records: DataFrame) -> DataFrame:
     last_original = F.when(is_original, F.struct("fetched_num", "item_name"))
     yes = F.col("decision") == "yes"
     groups = (
-        records.groupBy("fingerprint")
+        records.filter(F.col("fingerprint").isNotNull())
+        .groupBy("fingerprint")
         .agg(
             F.count(F.lit(1)).alias("n_records"),
             F.count("url").alias("n_urls"),

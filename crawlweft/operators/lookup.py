@@ -44,17 +44,20 @@ def phrase(token_rows: DataFrame, field: str, terms: list[str], key: str = "id")
     Each token votes for the start it would belong to; a start with a vote for
     every offset is a match.  One shuffle by (key, start), no self join.
     """
+    if len(terms) > 62:
+        raise ValueError("a phrase has at most 62 terms")
     offsets = F.array(
-        *[F.struct(F.lit(i).alias("at"), F.lit(t).alias("word")) for i, t in enumerate(terms)]
+        *[
+            F.struct(F.lit(i).alias("at"), F.lit(t).alias("word"), F.lit(1 << i).cast("bigint").alias("bit"))
+            for i, t in enumerate(terms)
+        ]
     )
     votes = (
         token_rows.filter((F.col("field") == field) & F.col("term").isin(sorted(set(terms))))
         .select(key, "term", "position", F.explode(offsets).alias("o"))
         .filter(F.col("term") == F.col("o.word"))
-        .select(key, (F.col("position") - F.col("o.at")).alias("position"), F.shiftleft(F.lit(1).cast("bigint"), F.col("o.at")).alias("bit"))
+        .select(key, (F.col("position") - F.col("o.at")).alias("position"), "o.bit")
     )
-    if len(terms) > 62:
-        raise ValueError("a phrase has at most 62 terms")
     return (
         votes.groupBy(key, "position")
         .agg(F.bit_or("bit").alias("seen"))

@@ -11,8 +11,7 @@ def content_key(item_name: Column) -> Column:
 
 def _key_from_path(path: str) -> Column:
     file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    root = F.lit(path.rstrip("/") + "/")
-    inside = F.substring_index(file, root, -1)
+    inside = F.substring_index(file, path.rstrip("/") + "/", -1)
     return F.regexp_replace(inside, r"\.gz$", "")
 
 
