@@ -223,7 +223,7 @@ def ngrams(source: str, key: str, text: str) -> str:
     WHERE i + n - 1 <= length(w) AND substr(w, i, n) <> ' '"""
 
 
-PROFILE = f"""SELECT lang, n, ngram, "count", total FROM (
+PROFILE = f"""SELECT lang, n, ngram, "count", CAST(total AS BIGINT) AS total FROM (
     SELECT *, sum("count") OVER (PARTITION BY lang, n) AS total,
       sum("count") FILTER (n = 1) OVER (PARTITION BY lang) AS letters
     FROM (SELECT lang, n, ngram, count(*) AS "count" FROM ({ngrams('documents', 'lang', 'text')}) GROUP BY ALL))

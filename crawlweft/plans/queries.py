@@ -92,7 +92,7 @@ def dup_group_filenames(spark, sf_dir):
       coalesce(string_agg(url, '|' ORDER BY fetched_num NULLS FIRST, url, item_name), '') AS urls,
       coalesce(string_agg(raw_url, '|' ORDER BY fetched_num NULLS FIRST, url NULLS FIRST, item_name), '') AS raw_urls,
       coalesce(string_agg(DISTINCT filename, '|' ORDER BY filename), '') AS filenames,
-      count(fetched_at) AS n_fetched, count(discovered_at) AS n_discovered, count(modified_at) AS n_modified
+      CAST(count(fetched_at) AS INTEGER) AS n_fetched, CAST(count(discovered_at) AS INTEGER) AS n_discovered, CAST(count(modified_at) AS INTEGER) AS n_modified
     FROM t WHERE fingerprint IS NOT NULL GROUP BY fingerprint"""
 )
 def packed_groups(spark, sf_dir):
@@ -251,7 +251,7 @@ def text_dates(spark, sf_dir):
 
 @query(
     """SELECT doc_id, coalesce(try_cast(len AS INTEGER), 0) AS declared,
-      greatest(coalesce(try_cast(len AS INTEGER), 0), strlen(text), length(text)) AS size, length(text) AS text_length
+      CAST(greatest(coalesce(try_cast(len AS INTEGER), 0), strlen(text), length(text)) AS INTEGER) AS size, CAST(length(text) AS INTEGER) AS text_length
     FROM (SELECT *, CASE WHEN source = 'src12' THEN n_chars || 'x' ELSE CAST(n_chars AS VARCHAR) END AS len FROM documents)"""
 )
 def size_resolution(spark, sf_dir):
@@ -344,7 +344,7 @@ def date_lists(spark, sf_dir):
 # --- content ----------------------------------------------------------------
 
 
-@query(f"SELECT page_id, body, length(body) AS text_length FROM (SELECT page_id, {o.html_text('html')} AS body FROM pages)")
+@query(f"SELECT page_id, body, CAST(length(body) AS INTEGER) AS text_length FROM (SELECT page_id, {o.html_text('html')} AS body FROM pages)")
 def page_text(spark, sf_dir):
     pages = d.html_pages(spark, sf_dir).select("page_id", html.html_text(F.col("html")).alias("body"))
     return pages.select("page_id", "body", F.length("body").alias("text_length"))
@@ -478,7 +478,7 @@ def _by_term(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _by_term_sql(source: str, key: str, tokens_sql: str) -> str:
-    return f"""SELECT t.term AS term, count(*) AS n, sum(t."position") AS positions, min({key}) AS first_key, max({key}) AS last_key
+    return f"""SELECT t.term AS term, count(*) AS n, CAST(sum(t."position") AS BIGINT) AS positions, min({key}) AS first_key, max({key}) AS last_key
     FROM (SELECT {key}, unnest({tokens_sql}) AS t FROM {source}) GROUP BY 1"""
 
 
@@ -562,7 +562,7 @@ STOP_WORDS = [
 
 @query(
     f"""WITH a AS (SELECT doc_id, {o.analyzer_of('lang')} AS analyzer, unnest({o.numbered(o.words('text'))}) AS t FROM documents)
-    SELECT analyzer, term, count(*) AS n, sum("position") AS positions FROM (SELECT analyzer, t.term AS term, t."position" AS "position" FROM a)
+    SELECT analyzer, term, count(*) AS n, CAST(sum("position") AS BIGINT) AS positions FROM (SELECT analyzer, t.term AS term, t."position" AS "position" FROM a)
     WHERE (analyzer, term) NOT IN (SELECT analyzer, term FROM {o.values(STOP_WORDS, 'analyzer, term')}) GROUP BY ALL"""
 )
 def tokens_language(spark, sf_dir):
@@ -591,8 +591,8 @@ _OFFSETS = """(SELECT doc_id, p, rlike, lower(p) AS term, sum(CAST(rlike AS INTE
 
 
 @query(
-    f"""SELECT term, count(*) AS n, sum("position") AS positions, sum(end_offset - length(p)) AS start_offsets,
-      sum(end_offset) AS end_offsets FROM {_OFFSETS} WHERE rlike GROUP BY term"""
+    f"""SELECT term, count(*) AS n, CAST(sum("position") AS BIGINT) AS positions, CAST(sum(end_offset - length(p)) AS BIGINT) AS start_offsets,
+      CAST(sum(end_offset) AS BIGINT) AS end_offsets FROM {_OFFSETS} WHERE rlike GROUP BY term"""
 )
 def term_vectors(spark, sf_dir):
     rows = terms.term_vectors(d.table(spark, sf_dir, "documents"), "doc_id", "body", "text")
@@ -678,7 +678,7 @@ def match_all_terms(spark, sf_dir):
 
 
 @query(
-    f"""WITH b AS {_BODY_TOKENS} SELECT x.doc_id, x."position" FROM b x JOIN b y
+    f"""WITH b AS {_BODY_TOKENS} SELECT x.doc_id, CAST(x."position" AS INTEGER) AS "position" FROM b x JOIN b y
       ON x.doc_id = y.doc_id AND y."position" = x."position" + 1 WHERE x.term = 'of' AND y.term = 'the'"""
 )
 def phrase_match(spark, sf_dir):
@@ -875,9 +875,9 @@ _PIPELINE_DOCUMENTS = (
     coalesce(CASE WHEN is_page THEN nullif(regexp_extract(html, '<meta charset="([^"]+)"', 1), '') END, header_charset) AS charset,
     CASE WHEN status = 'ok' THEN {o.analyzer_of('CASE WHEN has_text THEN coalesce(detected, html_language, header_language) ELSE header_language END')} END AS analyzer,
     CASE WHEN status = 'ok' THEN '~|~|~|~' END AS authors, CASE WHEN status = 'ok' THEN '~|~|~|~' END AS misc,
-    googlebot_blocked, CASE WHEN status = 'ok' THEN length(body) ELSE 0 END AS text_length,
-    CASE WHEN status = 'ok' THEN greatest(coalesce(try_cast(content_length AS INTEGER), 0), strlen(content), length(body))
-      ELSE coalesce(try_cast(content_length AS INTEGER), 0) END AS size,
+    googlebot_blocked, CAST(CASE WHEN status = 'ok' THEN length(body) ELSE 0 END AS INTEGER) AS text_length,
+    CAST(CASE WHEN status = 'ok' THEN greatest(coalesce(try_cast(content_length AS INTEGER), 0), strlen(content), length(body))
+      ELSE coalesce(try_cast(content_length AS INTEGER), 0) END AS INTEGER) AS size,
     coalesce(h, 0) AS similarity_hash_digest, status = 'ok' AND coalesce(media_type IN {o.COMMON_LIST}, false) AS is_common_type
   FROM y JOIN lists USING (fingerprint) WHERE status <> 'missing'"""
 )
@@ -915,7 +915,7 @@ def full_pipeline_rejects(spark, sf_dir):
       UNION ALL SELECT page_id, '', 'url', list_filter({o.numbered("list_filter(regexp_split_to_array(lower(url), '[:/?&=.#]+'), lambda z: z <> '')")},
         lambda z: z.term NOT IN ('http', 'https', 'www')) FROM a),
     e AS (SELECT page_id, analyzer, field, unnest(ts, recursive := true) FROM f)
-    SELECT field, term, count(*) AS n, sum("position") AS positions FROM e
+    SELECT field, term, count(*) AS n, CAST(sum("position") AS BIGINT) AS positions FROM e
     WHERE (analyzer, term) NOT IN (SELECT analyzer, term FROM {o.values(STOP_WORDS, 'analyzer, term')}) GROUP BY ALL"""
 )
 def index_fields(spark, sf_dir):
