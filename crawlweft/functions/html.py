@@ -4,6 +4,8 @@ Everything stays in built-in expressions, so a page costs one pass inside its
 scan stage and no shuffle.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,21 +38,32 @@ def is_html(media_type: Column) -> Column:
     return F.coalesce(media_type.isin(*HTML_TYPES), F.lit(False))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _or_null(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
+
+
 def _numeric_references(text: Column) -> Column:
     """Decode `&#8364;` and `&#x20AC;`; an impossible code point stays as written."""
 
     def put(acc: Column, ref: Column) -> Column:
         digits = F.regexp_extract(ref, r"^&#[xX]?([0-9A-Fa-f]+);$", 1)
-        base = F.when(ref.rlike("^&#[xX]"), F.lit(16)).otherwise(F.lit(10))
-        code = F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
+        code = F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "utf-32")
         return F.coalesce(F.replace(acc, ref, char), acc)
 
-    refs = F.array_distinct(
-        F.regexp_extract_all(text, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0))
-    )
-    return F.when(text.contains("&#"), F.aggregate(refs, text, put)).otherwise(text)
+    def decode(t: Column) -> Column:
+        refs = F.array_distinct(
+            F.regexp_extract_all(t, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0))
+        )
+        return F.when(t.contains("&#"), F.aggregate(refs, t, put)).otherwise(t)
+
+    return _let(text, decode)
 
 
 def unescape(text: Column) -> Column:
@@ -73,17 +86,17 @@ def trim_text(text: Column) -> Column:
     return F.btrim(text, F.lit("".join(map(chr, range(0x21)))))
 
 
-def html_text(html: Column) -> Column:
-    """Visible text of the page, one line per block element."""
-    out = F.regexp_replace(strip_hidden(html), r"(?is)<head(?:\s[^>]*)?>.*?</head\s*>", "")
+def visible_text(visible: Column) -> Column:
+    """Text of a page without hidden elements, one line per block element."""
+    out = F.regexp_replace(visible, r"(?is)<head(?:\s[^>]*)?>.*?</head\s*>", "")
     out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCK_ELEMENTS})(?:[\s/][^>]*)?>", "\n")
     out = F.regexp_replace(out, r"<[A-Za-z/!?][^>]*>", "")
     out = F.regexp_replace(unescape(out), r"[ \t\r\x0B\f\x{A0}]+", " ")
     return trim_text(F.regexp_replace(out, r" ?\n[ \n]*", "\n"))
 
 
-def _or_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+def html_text(html: Column) -> Column:
+    return visible_text(strip_hidden(html))
 
 
 def title(html: Column) -> Column:
@@ -97,26 +110,44 @@ def html_language(html: Column) -> Column:
     )
 
 
-def meta(html: Column, *names: str) -> Column:
-    """Content of the first `<meta name=...>` (or property) among `names` that is set."""
-    found = []
-    for name in names:
-        key = rf"""(?:name|property)\s*=\s*["']?{name}["']?"""
-        value = r"""content\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-        for pattern in (rf"(?i)<meta\s[^>]*?{key}\s[^>]*?{value}", rf"(?i)<meta\s[^>]*?{value}[^>]*?\s{key}[\s/>]"):
-            found += [_or_null(F.regexp_extract(html, pattern, group)) for group in (1, 2)]
-    return F.when(F.regexp_like(html, F.lit(r"(?i)<meta\s")), unescape(F.coalesce(*found)))
-
-
 def html_charset(html: Column) -> Column:
     return _or_null(
         F.regexp_extract(html, r"""(?i)<meta\s[^>]*?charset\s*=\s*["']?([A-Za-z0-9_.:-]+)""", 1)
     )
 
 
+def meta_tags(html: Column) -> Column:
+    """All `<meta name or property ...>` tags of a page, as one short text."""
+    found = F.regexp_extract_all(html, F.lit(r"(?i)<meta\s[^>]*?\b(?:name|property)\s*=[^>]*>"), F.lit(0))
+    return F.array_join(found, "")
+
+
+def meta(tags: Column, *names: str) -> Column:
+    """Content of the first tag in `meta_tags` text whose name is among `names`."""
+    key = rf"""(?:name|property)\s*=\s*["']?(?:{'|'.join(n.replace('.', '[.]') for n in names)})["'\s/>]"""
+    value = r"""content\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    tag = F.regexp_extract(tags, rf"(?i)<meta\s(?:[^>]*\s)?{key}[^>]*>?|<meta\s[^>]*\s{key}[^>]*>?", 0)
+    quoted = F.regexp_extract(tag, rf"(?i)\s{value}", 1)
+    return F.when(tags != "", _or_null(unescape(F.regexp_replace(quoted, r"""^["']|["']$""", ""))))
+
+
 _URL_PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/?#]*))?([^?#]*)(\?[^#]*)?"
 
 
+def base_parts(base: Column) -> Column:
+    """(scheme, root, path, query) of an http(s) page address, else null."""
+    scheme = F.lower(F.regexp_extract(base, _URL_PARTS, 1))
+    return F.when(
+        base.rlike(r"(?i)^https?://"),
+        F.struct(
+            scheme.alias("scheme"),
+            F.concat(scheme, F.lit("://"), F.regexp_extract(base, _URL_PARTS, 2)).alias("root"),
+            F.regexp_extract(base, _URL_PARTS, 3).alias("path"),
+            F.regexp_extract(base, _URL_PARTS, 4).alias("query"),
+        ),
+    )
+
+
 def _no_dots(path: Column) -> Column:
     """Resolve `.` and `..` segments of an absolute path."""
 
@@ -127,44 +158,42 @@ def _no_dots(path: Column) -> Column:
             .otherwise(F.concat(acc, F.array(seg)))
         )
 
-    parts = F.aggregate(F.split(path, "/"), F.expr("cast(array() as array<string>)"), step)
-    folder = path.rlike(r"/\.\.?$")
-    return F.when(
-        path.contains("/."),
-        F.concat(F.array_join(parts, "/"), F.when(folder, F.lit("/")).otherwise(F.lit(""))),
-    ).otherwise(path)
+    def resolve(p: Column) -> Column:
+        parts = F.aggregate(F.split(p, "/"), F.expr("cast(array() as array<string>)"), step)
+        end = F.when(p.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit(""))
+        return F.when(p.contains("/."), F.concat(F.array_join(parts, "/"), end)).otherwise(p)
+
+    return _let(path, resolve)
 
 
 def resolve_link(href: Column, base: Column) -> Column:
-    """Absolute http(s) address of a link on the page `base`; null for other schemes."""
-    scheme = F.lower(F.regexp_extract(base, _URL_PARTS, 1))
-    host = F.regexp_extract(base, _URL_PARTS, 2)
-    path = F.regexp_extract(base, _URL_PARTS, 3)
-    query = F.regexp_extract(base, _URL_PARTS, 4)
-    root = F.concat(scheme, F.lit("://"), host)
+    """Absolute http(s) address of a link on the page `base_parts`; null for other schemes."""
+    root, path = base["root"], base["path"]
     folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
     link_path = F.regexp_extract(href, r"^[^?#]*", 0)
-    link_rest = F.regexp_extract(href, r"[?#](?s).*$", 0)
-    usable = base.rlike(r"(?i)^https?://")
+    link_rest = F.regexp_extract(href, r"(?s)[?#].*$", 0)
+    full_path = F.when(href.startswith("/"), link_path).otherwise(F.concat(folder, link_path))
     return (
         F.when(href.rlike(r"(?i)^https?://"), href)
-        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
-        .when(~usable | (href == ""), F.lit(None).cast("string"))
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(root, _no_dots(link_path), link_rest))
-        .when(href.startswith("#"), F.concat(root, path, query, href))
+        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | base.isNull() | (href == ""), F.lit(None).cast("string"))
+        .when(href.startswith("//"), F.concat(base["scheme"], F.lit(":"), href))
+        .when(href.startswith("#"), F.concat(root, path, base["query"], href))
         .when(href.startswith("?"), F.concat(root, path, href))
-        .otherwise(F.concat(root, _no_dots(F.concat(folder, link_path)), link_rest))
+        .otherwise(F.concat(root, _no_dots(full_path), link_rest))
     )
 
 
-def html_links(html: Column, base: Column) -> Column:
-    """Distinct absolute targets of the page's anchors, sorted."""
+def visible_links(visible: Column, base: Column) -> Column:
+    """Distinct absolute targets of the anchors of a page without hidden elements, sorted."""
     anchors = F.regexp_extract_all(
-        strip_hidden(html),
+        visible,
         F.lit(r"""(?i)<(?:a|area)\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""),
         F.lit(1),
     )
     hrefs = F.transform(anchors, lambda a: trim_text(unescape(F.regexp_replace(a, r"""^["']|["']$""", ""))))
-    links = F.transform(hrefs, lambda h: resolve_link(h, base))
+    links = _let(base_parts(base), lambda b: F.transform(hrefs, lambda h: resolve_link(h, b)))
     return F.array_sort(F.array_distinct(F.array_compact(links)))
+
+
+def html_links(html: Column, base: Column) -> Column:
+    return visible_links(strip_hidden(html), base)

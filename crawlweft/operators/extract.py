@@ -50,44 +50,46 @@ def extract(pages: DataFrame) -> DataFrame:
         .otherwise(UNSUPPORTED),
     )
     ok = F.col("status") == OK
-    is_page = ok & F.col("_html")
+    # Each of these is used several times below, so it gets its own step.
+    out = out.withColumn("_page", F.when(ok & F.col("_html"), content))
+    out = out.withColumns({"_visible": html.strip_hidden(F.col("_page")), "_tags": html.meta_tags(F.col("_page"))})
+    out = out.withColumn(
+        "body", F.coalesce(html.visible_text(F.col("_visible")), F.when(ok, html.trim_text(content)))
+    )
 
-    def page(c: Column) -> Column:
-        return F.when(is_page, c)
+    def meta(*names: str) -> Column:
+        return html.meta(F.col("_tags"), *names)
 
     out = out.withColumns(
         {
-            "body": F.when(is_page, html.html_text(content)).when(ok, html.trim_text(content)),
-            "charset": F.coalesce(page(html.html_charset(content)), F.col("header_charset")),
-            "title": page(html.title(content)),
-            "html_language": F.lower(page(html.html_language(content))),
+            "charset": F.coalesce(html.html_charset(F.col("_page")), F.col("header_charset")),
+            "title": html.title(F.col("_page")),
+            "html_language": F.lower(html.html_language(F.col("_page"))),
             "authors": F.when(
                 ok,
                 F.array(
-                    page(html.meta(content, "author")),
-                    page(html.meta(content, "dc.creator", "dcterms.creator")),
-                    page(html.meta(content, "dc.contributor", "dcterms.contributor")),
-                    page(html.meta(content, "last-author", "dcterms.modifier")),
+                    meta("author"),
+                    meta("dc.creator", "dcterms.creator"),
+                    meta("dc.contributor", "dcterms.contributor"),
+                    meta("last-author", "dcterms.modifier"),
                 ),
             ),
             "misc": F.when(
                 ok,
                 F.array(
-                    page(html.meta(content, "comments")),
-                    page(html.meta(content, "description", "og:description")),
-                    page(html.meta(content, "dc.source", "source")),
-                    page(html.meta(content, "keywords")),
+                    meta("comments"),
+                    meta("description", "og:description"),
+                    meta("dc.source", "source"),
+                    meta("keywords"),
                 ),
             ),
             "meta_created": dates.text_date(
-                page(html.meta(content, "dcterms.created", "creation-date", "article:published_time")),
-                F.col("fetched_at"),
+                meta("dcterms.created", "creation-date", "article:published_time"), F.col("fetched_at")
             ),
             "meta_modified": dates.text_date(
-                page(html.meta(content, "dcterms.modified", "last-modified", "article:modified_time")),
-                F.col("fetched_at"),
+                meta("dcterms.modified", "last-modified", "article:modified_time"), F.col("fetched_at")
             ),
-            "page_links": page(html.html_links(content, F.col("base_url"))),
+            "page_links": html.visible_links(F.col("_visible"), F.col("base_url")),
             "n_bytes": F.octet_length(content),
         }
     )
@@ -109,4 +111,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 ),
             ).otherwise(headers.declared_size(F.col("content_length"))),
         }
-    ).drop("content", "_html", "page_links", "n_bytes")
+    ).drop("content", "_html", "_page", "_visible", "_tags", "page_links", "n_bytes")
