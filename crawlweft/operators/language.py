@@ -17,23 +17,32 @@ FLOOR = 0.5 / 10_000
 MIN_SHARE = 1 / 10_000
 
 
-def ngrams(documents: DataFrame, *keep: str, text: str = "text") -> DataFrame:
-    """Rows (*keep, n, ngram) over whole texts, without a shuffle.
+def _gram_columns(documents: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """Rows (*keep, g1, g2, g3): the n-grams that begin at each place of each word.
 
-    Words are exploded before their n-grams, so memory per row stays at one
-    text, and every step runs in generated code.
+    Works over whole texts without a shuffle.  Words are exploded before their
+    places, so a row stays as small as a word, and every step runs in generated
+    code.  A gram that would be cut short, or is the blank alone, is null.
     """
-    return (
+    places = (
         documents.select(*keep, F.explode(F.regexp_extract_all(text, F.lit(LETTERS), F.lit(0))).alias("w"))
         .select(*keep, F.concat(F.lit(" "), "w", F.lit(" ")).alias("w"))
         .select(*keep, "w", F.explode(F.sequence(F.lit(1), F.length("w"))).alias("i"))
-        .select(
-            *keep,
-            F.posexplode(
-                F.array(*[F.substring(F.col("w"), F.col("i"), F.lit(n)) for n in (1, 2, 3)])
-            ).alias("n0", "ngram"),
-        )
-        .filter((F.length("ngram") == F.col("n0") + 1) & (F.col("ngram") != " "))
+    )
+    return places.select(
+        *keep,
+        F.expr("CASE WHEN i > 1 AND i < length(w) THEN substring(w, i, 1) END").alias("g1"),
+        F.expr("CASE WHEN i < length(w) THEN substring(w, i, 2) END").alias("g2"),
+        F.expr("CASE WHEN i < length(w) - 1 THEN substring(w, i, 3) END").alias("g3"),
+    )
+
+
+def ngrams(documents: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """Rows (*keep, n, ngram), one per occurrence."""
+    return (
+        _gram_columns(documents, *keep, text=text)
+        .select(*keep, F.posexplode(F.array("g1", "g2", "g3")).alias("n0", "ngram"))
+        .filter(F.col("ngram").isNotNull())
         .select(*keep, (F.col("n0") + 1).alias("n"), "ngram")
     )
 
@@ -57,15 +66,19 @@ def train_profiles(
     )
 
 
-def _weights(profiles: DataFrame, languages: list[str]) -> DataFrame:
-    """One row per n-gram, one log-probability column per language."""
+def _weights(profiles: DataFrame, languages: list[str], n: int) -> DataFrame:
+    """One row per n-gram of length `n`: its log-probability in each language."""
     p = F.ln(F.lit(FLOOR) + F.col("count") / F.col("total"))
     floor = F.ln(F.lit(FLOOR))
-    return profiles.groupBy("ngram").agg(
-        *[
-            F.coalesce(F.max(F.when(F.col("lang") == lang, p)), floor).alias(f"w{i}")
-            for i, lang in enumerate(languages)
-        ]
+    return (
+        profiles.filter(F.col("n") == n)
+        .groupBy(F.col("ngram").alias(f"g{n}"))
+        .agg(
+            *[
+                F.coalesce(F.max(F.when(F.col("lang") == lang, p)), floor).alias(f"w{n}_{i}")
+                for i, lang in enumerate(languages)
+            ]
+        )
     )
 
 
@@ -81,17 +94,24 @@ def detect(
 
     Documents with no n-gram of any profile are absent.  Ties go to the first
     code.  The weights are broadcast after counting them; a document's n-grams
-    meet them inside its scan task and collapse to one row of partial sums
-    before the shuffle.  `profiles` should be a stage or a file, as it is read
-    more than once.
+    meet them inside its scan task, one row per place in the text, and collapse
+    to one row of partial sums before the shuffle.  `profiles` should be a stage
+    or a file, as it is read more than once.
     """
     languages = languages_of(profiles)
-    weights = broadcast_if_small(_weights(profiles, languages))
-    grams = ngrams(documents.select(key, F.col(text).alias("text")), key)
+    grams = _gram_columns(documents.select(key, F.col(text).alias("text")), key)
+    for n in (1, 2, 3):
+        grams = grams.join(broadcast_if_small(_weights(profiles, languages, n)), f"g{n}", "left")
     scores = (
-        grams.join(weights, "ngram")
-        .groupBy(key)
-        .agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in range(len(languages))])
+        grams.groupBy(key)
+        .agg(
+            *[
+                F.expr(f"sum(coalesce(w1_{i}, 0D) + coalesce(w2_{i}, 0D) + coalesce(w3_{i}, 0D)) AS s{i}")
+                for i in range(len(languages))
+            ],
+            F.expr("bool_or(w1_0 IS NOT NULL OR w2_0 IS NOT NULL OR w3_0 IS NOT NULL) AS known"),
+        )
+        .filter("known")
     )
     ranked = [
         F.struct(F.col(f"s{i}").alias("score"), F.lit(-i).alias("rank"), F.lit(lang).alias("lang"))

@@ -56,18 +56,16 @@ def similarity_hash(
     hashes = documents.select(key, F.explode(features(F.col(text))).alias("w")).select(
         key, word_hash(F.col("w")).alias("h")
     )
-    both = F.lit((1 << 32) | 1)
     sums = hashes.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.shiftrightunsigned("h", i).bitwiseAND(both)).alias(f"c{i}") for i in range(32)],
+        *[F.expr(f"sum(shiftrightunsigned(h, {i}) & 4294967297L) AS c{i}") for i in range(32)],
     )
-    digest = F.lit(0).cast("bigint")
-    for i in range(32):
-        low = F.col(f"c{i}").bitwiseAND(F.lit((1 << 32) - 1))
-        high = F.shiftrightunsigned(F.col(f"c{i}"), 32)
-        for count, bit in ((low, i), (high, i + 32)):
-            digest = digest.bitwiseOR(F.when(count * 2 > F.col("n"), F.shiftleft(F.lit(1).cast("bigint"), bit)).otherwise(F.lit(0)))
-    return sums.select(key, digest.alias("similarity_hash_digest"))
+    bits = [
+        f"CASE WHEN 2 * {count} > n THEN shiftleft(1L, {bit}) ELSE 0L END"
+        for i in range(32)
+        for count, bit in ((f"(c{i} & 4294967295L)", i), (f"shiftrightunsigned(c{i}, 32)", i + 32))
+    ]
+    return sums.select(key, F.expr(" | ".join(bits)).alias("similarity_hash_digest"))
 
 
 def similarity_hash_by_language(
