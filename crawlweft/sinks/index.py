@@ -46,13 +46,13 @@ def latest(versions: DataFrame, key: str, *order: str) -> DataFrame:
     newest = versions.groupBy(key).agg(F.max(F.struct(*order)).alias("v")).select(
         key, *[F.col(f"v.{c}").alias(c) for c in order]
     )
-    return versions.join(newest, [key, *order], "left_semi")
+    return versions.join(newest, [key, *order], "left_semi").select(*versions.columns)
 
 
 def upsert(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Whole-document replace: rows of `new` displace those of the same key."""
     kept = existing.join(new.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(new)
+    return kept.select(*existing.columns).unionByName(new)
 
 
 def stored_view(documents: DataFrame) -> DataFrame:
