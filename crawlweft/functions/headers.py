@@ -57,20 +57,3 @@ def is_blocked(reasons: Column) -> Column:
 
 def is_malformed_reasons(reasons: Column) -> Column:
     return reasons.isNotNull() & F.json_array_length(reasons).isNull()
-
-
-# Character sets that Spark can decode (fixed values).
-DECODABLE = ("utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32")
-
-
-def is_decodable(charset_name: Column) -> Column:
-    return charset_name.isNull() | F.lower(charset_name).isin(*DECODABLE)
-
-
-def decode_body(content: Column, charset_name: Column) -> Column:
-    """Bytes to text in the resolved charset, UTF-8 by default; null if not decodable."""
-    name = F.lower(F.coalesce(charset_name, F.lit("utf-8")))
-    out = F.when(name == "utf-8", F.try_validate_utf8(content.cast("string")))
-    for known in DECODABLE[1:]:
-        out = out.when(name == known, F.decode(content, known))
-    return out

@@ -1,7 +1,7 @@
 """Text, metadata and links of HTML pages, as regular-expression columns.
 
-Everything stays in built-in expressions, so a page costs one pass inside its
-scan stage and no shuffle.
+Everything stays in built-in expressions, so a page costs no shuffle.  Inside a
+tag the patterns stop at the next angle bracket, so broken markup stays linear.
 """
 
 from collections.abc import Callable
@@ -74,10 +74,14 @@ def unescape(text: Column) -> Column:
 
 
 def strip_hidden(html: Column) -> Column:
-    """Drop comments and what is never shown: scripts, styles, templates."""
-    out = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    """Drop comments and what is never shown: scripts, styles, templates.
+
+    One that is never closed runs to the end of the page, as in a browser; this
+    also keeps the scan linear.
+    """
+    out = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
     for name in ("script", "style", "noscript", "template"):
-        out = F.regexp_replace(out, rf"(?is)<{name}(?:\s[^>]*)?>.*?</{name}\s*>", "")
+        out = F.regexp_replace(out, rf"(?is)<{name}(?:\s[^<>]*)?>.*?(?:</{name}\s*>|\z)", "")
     return out
 
 
@@ -88,9 +92,9 @@ def trim_text(text: Column) -> Column:
 
 def visible_text(visible: Column) -> Column:
     """Text of a page without hidden elements, one line per block element."""
-    out = F.regexp_replace(visible, r"(?is)<head(?:\s[^>]*)?>.*?</head\s*>", "")
-    out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCK_ELEMENTS})(?:[\s/][^>]*)?>", "\n")
-    out = F.regexp_replace(out, r"<[A-Za-z/!?][^>]*>", "")
+    out = F.regexp_replace(visible, r"(?is)<head(?:\s[^<>]*)?>.*?</head\s*>", "")
+    out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCK_ELEMENTS})(?:[\s/][^<>]*)?>", "\n")
+    out = F.regexp_replace(out, r"<[A-Za-z/!?][^<>]*>", "")
     out = F.regexp_replace(unescape(out), r"[ \t\r\x0B\f\x{A0}]+", " ")
     return trim_text(F.regexp_replace(out, r" ?\n[ \n]*", "\n"))
 
@@ -100,25 +104,25 @@ def html_text(html: Column) -> Column:
 
 
 def title(html: Column) -> Column:
-    raw = F.regexp_extract(html, r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>", 1)
+    raw = F.regexp_extract(html, r"(?is)<title(?:\s[^<>]*)?>(.*?)</title\s*>", 1)
     return _or_null(trim_text(F.regexp_replace(unescape(raw), r"\s+", " ")))
 
 
 def html_language(html: Column) -> Column:
     return _or_null(
-        F.regexp_extract(html, r"""(?i)<html\s[^>]*?\blang\s*=\s*["']?([A-Za-z0-9_-]+)""", 1)
+        F.regexp_extract(html, r"""(?i)<html\s[^<>]*?\blang\s*=\s*["']?([A-Za-z0-9_-]+)""", 1)
     )
 
 
 def html_charset(html: Column) -> Column:
     return _or_null(
-        F.regexp_extract(html, r"""(?i)<meta\s[^>]*?charset\s*=\s*["']?([A-Za-z0-9_.:-]+)""", 1)
+        F.regexp_extract(html, r"""(?i)<meta\s[^<>]*?charset\s*=\s*["']?([A-Za-z0-9_.:-]+)""", 1)
     )
 
 
 def meta_tags(html: Column) -> Column:
     """All `<meta name or property ...>` tags of a page, as one short text."""
-    found = F.regexp_extract_all(html, F.lit(r"(?i)<meta\s[^>]*?\b(?:name|property)\s*=[^>]*>"), F.lit(0))
+    found = F.regexp_extract_all(html, F.lit(r"(?i)<meta\s[^<>]*?\b(?:name|property)\s*=[^<>]*>"), F.lit(0))
     return F.array_join(found, "")
 
 
@@ -126,7 +130,7 @@ def meta(tags: Column, *names: str) -> Column:
     """Content of the first tag in `meta_tags` text whose name is among `names`."""
     key = rf"""(?:name|property)\s*=\s*["']?(?:{'|'.join(n.replace('.', '[.]') for n in names)})["'\s/>]"""
     value = r"""content\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    tag = F.regexp_extract(tags, rf"(?i)<meta\s(?:[^>]*\s)?{key}[^>]*>?|<meta\s[^>]*\s{key}[^>]*>?", 0)
+    tag = F.regexp_extract(tags, rf"(?i)<meta\s(?:[^<>]*\s)?{key}[^<>]*>?|<meta\s[^<>]*\s{key}[^<>]*>?", 0)
     quoted = F.regexp_extract(tag, rf"(?i)\s{value}", 1)
     return F.when(tags != "", _or_null(unescape(F.regexp_replace(quoted, r"""^["']|["']$""", ""))))
 
@@ -187,7 +191,7 @@ def visible_links(visible: Column, base: Column) -> Column:
     """Distinct absolute targets of the anchors of a page without hidden elements, sorted."""
     anchors = F.regexp_extract_all(
         visible,
-        F.lit(r"""(?i)<(?:a|area)\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""),
+        F.lit(r"""(?i)<(?:a|area)\s(?:[^<>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""),
         F.lit(1),
     )
     hrefs = F.transform(anchors, lambda a: trim_text(unescape(F.regexp_replace(a, r"""^["']|["']$""", ""))))

@@ -90,7 +90,6 @@ def extract(pages: DataFrame) -> DataFrame:
                 meta("dcterms.modified", "last-modified", "article:modified_time"), F.col("fetched_at")
             ),
             "page_links": html.visible_links(F.col("_visible"), F.col("base_url")),
-            "n_bytes": F.octet_length(content),
         }
     )
     none = F.expr("cast(array() as array<string>)")
@@ -111,4 +110,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 ),
             ).otherwise(headers.declared_size(F.col("content_length"))),
         }
-    ).drop("content", "_html", "_page", "_visible", "_tags", "page_links", "n_bytes")
+    ).drop("content", "_html", "_page", "_visible", "_tags", "page_links", "n_bytes", "content_key")

@@ -32,14 +32,16 @@ def record_order() -> Column:
 def grouped_records(records: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
     """All records whose fingerprint one of the `fresh` originals has.
 
-    An incremental run has few fresh originals, so a semi join drops most records
-    before anything is grouped.  A full run gives none: `rollup` alone tells which
-    groups have an original and no join is needed.
+    An incremental run has few fresh originals; their fingerprints are broadcast
+    after counting and drop most records inside the scan, before any shuffle.  A
+    full run gives none: `rollup` alone tells which groups have an original and
+    no join is needed.
     """
     members = records.filter(F.col("fingerprint").isNotNull())
     if fresh is None:
         return members
-    return members.join(fresh.select("fingerprint").distinct(), "fingerprint", "left_semi")
+    wanted = broadcast_if_small(fresh.select("fingerprint").distinct())
+    return members.join(wanted, "fingerprint", "left_semi").select(*records.columns)
 
 
 def rollup(records: DataFrame) -> DataFrame:
@@ -156,11 +158,13 @@ def pack_lists(records: DataFrame, groups: DataFrame, part_rows: int = PART_ROWS
         .drop("e", "filename", "item_name", "n_parts")
         .repartition("fingerprint", "part")
     )
-    packed = []
-    for column, (field, is_set) in LIST_FIELDS.items():
-        if is_set:
-            packed.append(F.array_sort(F.collect_set("set_value")).alias(field))
-        else:
-            entry = F.when(F.col("member") & F.col(column).isNotNull(), F.struct("o", F.col(column).alias("v")))
-            packed.append(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["v"]).alias(field))
-    return placed.groupBy("fingerprint", "part").agg(*packed)
+    lists = [c for c, (_, is_set) in LIST_FIELDS.items() if not is_set]
+    entry = F.when(F.col("member"), F.struct("o", *lists))
+    packed = placed.groupBy("fingerprint", "part").agg(
+        F.array_sort(F.collect_list(entry)).alias("m"), F.array_sort(F.collect_set("set_value")).alias("filename")
+    )
+
+    def values_of(column: str) -> Column:
+        return F.array_compact(F.col(f"m.{column}")).alias(LIST_FIELDS[column][0])
+
+    return packed.select("fingerprint", "part", "filename", *map(values_of, lists))

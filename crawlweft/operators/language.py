@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweft.functions.tokens import LETTERS
-from crawlweft.operators.staging import broadcast_if_small
+from crawlweft.operators.staging import broadcast_if_small, write_stage
 
 # Smoothing added to every probability.
 FLOOR = 0.5 / 10_000
@@ -53,14 +53,17 @@ def train_profiles(
     """(lang, n, ngram, count, total) from labelled texts.
 
     Counts combine on the map side, so the shuffle carries distinct n-grams per
-    task, whatever the language mix.  `total` is taken before rare n-grams go.
+    task, whatever the language mix.  They are staged, as the totals need a
+    second pass.  `total` is taken before rare n-grams go.
     """
     labelled = documents.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = ngrams(labelled, "lang").groupBy("lang", "n", "ngram").agg(F.count(F.lit(1)).alias("count"))
+    counts = write_stage(
+        ngrams(labelled, "lang").groupBy("lang", "n", "ngram").agg(F.count(F.lit(1)).alias("count")), "ngrams"
+    )
     totals = counts.groupBy("lang").agg(*[F.sum(F.when(F.col("n") == n, F.col("count"))).alias(f"n{n}") for n in (1, 2, 3)])
     total = F.when(F.col("n") == 1, F.col("n1")).when(F.col("n") == 2, F.col("n2")).otherwise(F.col("n3"))
     return (
-        counts.join(totals, "lang")
+        counts.join(broadcast_if_small(totals), "lang")
         .filter(F.col("count") > F.col("n1") * min_share)
         .select("lang", "n", "ngram", "count", total.alias("total"))
     )

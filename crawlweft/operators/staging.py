@@ -34,12 +34,15 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether `df` has at most `max_rows` rows; counted, never estimated."""
+    return df.count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; beyond `max_rows` Spark merges instead.
 
     `df` should be cheap to scan (a stage, a file or an aggregate of one) and
     have narrow rows.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_small(df, max_rows) else df

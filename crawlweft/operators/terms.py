@@ -68,10 +68,11 @@ def drop_stop_words(rows: DataFrame, stop_words: DataFrame) -> DataFrame:
 def tokenize_language(
     documents: DataFrame, key: str, field: str, column: str, stop_words: DataFrame
 ) -> DataFrame:
+    """(key, analyzer, field, term, position), by the analyzer that each document names."""
     rows = documents.select(
         key, F.col("analyzer"), F.lit(field).alias("field"), F.explode(tokens.standard(F.col(column))).alias("t")
     ).select(key, "analyzer", "field", "t.term", "t.position")
-    return drop_stop_words(rows, stop_words).select(key, "field", "term", "position")
+    return drop_stop_words(rows, stop_words).select(key, "analyzer", "field", "term", "position")
 
 
 # Positions of a list's next value start this far behind the value before.

@@ -162,23 +162,23 @@ def trim(column: str) -> str:
 
 
 def hidden(column: str) -> str:
-    out = f"regexp_replace({column}, '(?s)<!--.*?-->', '', 'g')"
+    out = f"regexp_replace({column}, '(?s)<!--.*?(?:-->|\\z)', '', 'g')"
     for name in ("script", "style", "noscript", "template"):
-        out = f"regexp_replace({out}, '(?is)<{name}(?:\\s[^>]*)?>.*?</{name}\\s*>', '', 'g')"
+        out = f"regexp_replace({out}, '(?is)<{name}(?:\\s[^<>]*)?>.*?(?:</{name}\\s*>|\\z)', '', 'g')"
     return out
 
 
 def html_text(column: str) -> str:
-    out = f"regexp_replace({hidden(column)}, '(?is)<head(?:\\s[^>]*)?>.*?</head\\s*>', '', 'g')"
-    out = f"regexp_replace({out}, '(?i)</?(?:{BLOCK_ELEMENTS})(?:[\\s/][^>]*)?>', chr(10), 'g')"
-    out = f"regexp_replace({out}, '<[A-Za-z/!?][^>]*>', '', 'g')"
+    out = f"regexp_replace({hidden(column)}, '(?is)<head(?:\\s[^<>]*)?>.*?</head\\s*>', '', 'g')"
+    out = f"regexp_replace({out}, '(?i)</?(?:{BLOCK_ELEMENTS})(?:[\\s/][^<>]*)?>', chr(10), 'g')"
+    out = f"regexp_replace({out}, '<[A-Za-z/!?][^<>]*>', '', 'g')"
     out = f"regexp_replace({unescape(out)}, '[ \\t\\r\\x0B\\f\\x{{A0}}]+', ' ', 'g')"
     return trim(f"regexp_replace({out}, ' ?\\n[ \\n]*', chr(10), 'g')")
 
 
 TITLE = "nullif(" + trim(
     "regexp_replace("
-    + unescape(r"regexp_extract(html, '(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>', 1)")
+    + unescape(r"regexp_extract(html, '(?is)<title(?:\s[^<>]*)?>(.*?)</title\s*>', 1)")
     + r", '\s+', ' ', 'g')"
 ) + ", '')"
 EMAIL = r"'[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}'"

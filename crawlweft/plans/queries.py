@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweft.functions import dates, headers, html, textscan, tokens
+from crawlweft.functions import charsets, dates, headers, html, textscan, tokens
 from crawlweft.operators import extract, groups, language, lookup, media_types, simhash, terms
 from crawlweft.operators.default_rules import SECTIONS
 from crawlweft.operators.staging import scratch_path, write_stage
@@ -158,13 +158,10 @@ def attribute_pivot(spark, sf_dir):
     rows = [
         F.struct(F.lit(seq).cast("bigint").alias("seq"), F.lit(name).alias("attribute"), value.alias("value"))
         for name, column in ATTRIBUTE_COLUMNS.items()
-        for seq, value in ((1, F.lit("stale")), (2, F.col(column)))
+        for seq, value in ((1, F.when(F.col(column).isNotNull(), "stale")), (2, F.col(column)))
     ]
     narrow = records.select("item_name", F.explode(F.array(*rows)).alias("a")).select("item_name", "a.*")
-    present = narrow.join(
-        narrow.filter("seq = 2 AND value IS NOT NULL").select("item_name", "attribute"), ["item_name", "attribute"], "left_semi"
-    )
-    return record_source.from_attributes(present)
+    return record_source.from_attributes(narrow.filter("value IS NOT NULL"))
 
 
 # --- scalar fields ----------------------------------------------------------
@@ -274,7 +271,7 @@ def size_resolution(spark, sf_dir):
       FROM r JOIN b ON trim(item_name, '?/') = content_key),
     k AS (SELECT *, CASE WHEN looks_html AND m IS DISTINCT FROM 'application/xhtml+xml' THEN 'text/html' ELSE m END AS media_type FROM j)
     SELECT item_name, media_type, coalesce(CASE WHEN lower(media_type) IN ('text/html', 'application/xhtml+xml') THEN
-      nullif(regexp_extract(content, '(?i)<meta\\s[^>]*?charset\\s*=\\s*["'']?([A-Za-z0-9_.:-]+)', 1), '') END, c) AS charset
+      nullif(regexp_extract(content, '(?i)<meta\\s[^<>]*?charset\\s*=\\s*["'']?([A-Za-z0-9_.:-]+)', 1), '') END, c) AS charset
     FROM k"""
 )
 def type_charset_resolution(spark, sf_dir):
@@ -292,15 +289,16 @@ def type_charset_resolution(spark, sf_dir):
     )
 
 
-@query("SELECT doc_id, CASE WHEN lang = 'es' THEN NULL ELSE md5(text) END AS digest FROM documents")
+@query("SELECT doc_id, CASE WHEN source = 'src3' THEN NULL ELSE md5(text) END AS digest FROM documents")
 def decode_bodies(spark, sf_dir):
-    """Texts stored as bytes in a charset per language; one charset cannot be read."""
+    """Texts stored as bytes in a charset per language; src3 names a charset that nobody knows."""
     docs = d.table(spark, sf_dir, "documents").selectExpr(
         "doc_id",
-        "CASE lang WHEN 'en' THEN 'UTF-8' WHEN 'de' THEN 'utf-16' WHEN 'fr' THEN NULL ELSE 'windows-1252' END AS charset",
-        "CASE lang WHEN 'de' THEN encode(text, 'utf-16') ELSE encode(text, 'utf-8') END AS bytes",
+        """CASE WHEN source = 'src3' THEN 'x-unheard-of' WHEN lang = 'en' THEN 'UTF-8' WHEN lang = 'de' THEN 'utf-16'
+           WHEN lang = 'es' THEN 'UTF-32' END AS charset""",
+        "CASE lang WHEN 'de' THEN encode(text, 'utf-16') WHEN 'es' THEN encode(text, 'utf-32') ELSE encode(text, 'utf-8') END AS bytes",
     )
-    return docs.select("doc_id", F.md5(headers.decode_body(F.col("bytes"), F.col("charset"))).alias("digest"))
+    return docs.select("doc_id", F.md5(charsets.decode(F.col("bytes"), F.col("charset"))).alias("digest"))
 
 
 @query(
@@ -376,6 +374,7 @@ def page_meta(spark, sf_dir):
         "page_id",
         F.col("url").alias("base_url"),
         F.col("html").alias("content"),
+        F.octet_length("html").alias("n_bytes"),
         F.lit(True).alias("has_body"),
         F.lit("text/html").alias("header_media_type"),
         F.lit(None).cast("string").alias("header_charset"),
@@ -569,11 +568,7 @@ def tokens_language(spark, sf_dir):
     docs = language.with_analyzer(d.texts(spark, sf_dir, "lang", "text"), F.col("lang"), language.analyzer_map(spark))
     stop = spark.createDataFrame(STOP_WORDS, "analyzer string, term string")
     rows = terms.tokenize_language(docs, "doc_id", "body", "text", stop)
-    return (
-        rows.join(docs.select("doc_id", "analyzer"), "doc_id")
-        .groupBy("analyzer", "term")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("position").alias("positions"))
-    )
+    return rows.groupBy("analyzer", "term").agg(F.count(F.lit(1)).alias("n"), F.sum("position").alias("positions"))
 
 
 @query(f"{_TYPED} SELECT item_name, 'media_type' AS field, media_type AS term, 0 AS \"position\" FROM t WHERE media_type IS NOT NULL")

@@ -3,6 +3,9 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlweft.functions.charsets import decode
+from crawlweft.operators.staging import is_small
+
 
 def content_key(item_name: Column) -> Column:
     """Key of a page's body: its name without `?` and `/` at either end."""
@@ -39,15 +42,27 @@ def read_binary_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def attach_bodies(pages: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Left join on the body key; `content` is null where no body is stored.
+    """Left join on the body key: adds `content`, `n_bytes` and `has_body`.
 
-    Keys are unique on the body side.  Spark chooses the join: a small batch of
-    pages is broadcast by its measured size, anything larger is sort-merged.
+    `bodies` is (content_key, content), or (content_key, bytes) for bodies that
+    are decoded in the charset of their page's header.  Keys are unique on the
+    body side.  When the pages are few, as in an incremental run, their keys are
+    broadcast to the scan of the bodies, so that other bodies are never shuffled.
     """
     keyed = pages.withColumn("content_key", content_key(F.col("item_name")))
-    return keyed.join(bodies.withColumn("has_body", F.lit(True)), "content_key", "left").withColumn(
+    keys = keyed.select("content_key")
+    if is_small(keys):
+        bodies = bodies.join(F.broadcast(keys), "content_key", "left_semi")
+    out = keyed.join(bodies.withColumn("has_body", F.lit(True)), "content_key", "left").withColumn(
         "has_body", F.coalesce("has_body", F.lit(False))
     )
+    if "bytes" in bodies.columns:
+        out = out.withColumns(
+            {"content": decode(F.col("bytes"), F.col("header_charset")), "n_bytes": F.octet_length("bytes")}
+        ).drop("bytes")
+    else:
+        out = out.withColumn("n_bytes", F.octet_length("content"))
+    return out
 
 
 def missing_bodies(pages: DataFrame, bodies: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from crawlweft.functions import dates, headers, html, textscan, tokens
+from crawlweft.functions import charsets, dates, headers, html, textscan, tokens
 from crawlweft.sources.bodies import content_key
 
 X, Y = F.col("x"), F.col("y")
@@ -56,12 +56,24 @@ def test_blocked(value, reasons, blocked, malformed):
     assert value(headers.is_malformed_reasons(X), x=reasons) is malformed
 
 
-def test_decode_body(value):
-    utf16 = F.encode(X, "utf-16")
-    assert value(headers.decode_body(utf16, F.lit("UTF-16")), x="grün") == "grün"
-    assert value(headers.decode_body(F.encode(X, "utf-8"), F.lit(None).cast("string")), x="grün") == "grün"
-    assert value(headers.decode_body(F.encode(X, "utf-8"), F.lit("windows-1252")), x="grün") is None
-    assert value(headers.is_decodable(X), x="windows-1252") is False
+@pytest.mark.parametrize(
+    "raw, charset, text",
+    [
+        ("grün".encode(), None, "grün"),
+        ("grün".encode(), "UTF-8", "grün"),
+        ("grün".encode("utf-16"), "utf-16", "grün"),
+        ("grün €".encode("windows-1252"), "Windows-1252", "grün €"),
+        ("мир".encode("koi8-r"), "koi8-r", "мир"),
+        ("漢字".encode("shift_jis"), "Shift_JIS", "漢字"),
+        (b"a\xffb", "utf-8", "a\ufffdb"),
+        (b"\xd8\x61", "utf-16", "\ufffd"),
+        (b"abc", "no-such-charset", None),
+        (b"abc", "hex", None),
+    ],
+)
+def test_decode(spark, raw, charset, text):
+    row = spark.createDataFrame([(bytearray(raw), charset)], "x binary, y string")
+    assert row.select(charsets.decode(X, Y)).first()[0] == text
 
 
 def test_epoch(value):
