@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crawlweft.functions.tokens import LETTERS
 from crawlweft.operators.staging import broadcast_if_small, write_stage
+from crawlweft.sources.lists import fixed_table
 
 # Smoothing added to every probability.
 FLOOR = 0.5 / 10_000
@@ -70,24 +71,30 @@ def train_profiles(
 
 
 def _weights(profiles: DataFrame, languages: list[str], n: int) -> DataFrame:
-    """One row per n-gram of length `n`: its log-probability in each language."""
+    """One row per n-gram of length `n`: its log-probability in each language, as an array.
+
+    An array keeps the joined rows narrow, so many languages stay in generated code.
+    """
     p = F.ln(F.lit(FLOOR) + F.col("count") / F.col("total"))
     floor = F.ln(F.lit(FLOOR))
     return (
         profiles.filter(F.col("n") == n)
         .groupBy(F.col("ngram").alias(f"g{n}"))
         .agg(
-            *[
-                F.coalesce(F.max(F.when(F.col("lang") == lang, p)), floor).alias(f"w{n}_{i}")
-                for i, lang in enumerate(languages)
-            ]
+            F.array(*[F.coalesce(F.max(F.when(F.col("lang") == lang, p)), floor) for lang in languages]).alias(f"w{n}")
         )
     )
 
 
+MAX_LANGUAGES = 1000
+
+
 def languages_of(profiles: DataFrame) -> list[str]:
-    """The profile languages: one short code each, a few dozen at most."""
-    return [r.lang for r in profiles.select("lang").distinct().orderBy("lang").limit(1000).collect()]
+    """The profile languages: one short code each, a few dozen as a rule."""
+    rows = profiles.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} profile languages")
+    return [r.lang for r in rows]
 
 
 def detect(
@@ -109,10 +116,10 @@ def detect(
         grams.groupBy(key)
         .agg(
             *[
-                F.expr(f"sum(coalesce(w1_{i}, 0D) + coalesce(w2_{i}, 0D) + coalesce(w3_{i}, 0D)) AS s{i}")
+                F.expr(f"sum(coalesce(w1[{i}], 0D) + coalesce(w2[{i}], 0D) + coalesce(w3[{i}], 0D)) AS s{i}")
                 for i in range(len(languages))
             ],
-            F.expr("bool_or(w1_0 IS NOT NULL OR w2_0 IS NOT NULL OR w3_0 IS NOT NULL) AS known"),
+            F.expr("bool_or(w1 IS NOT NULL OR w2 IS NOT NULL OR w3 IS NOT NULL) AS known"),
         )
         .filter("known")
     )
@@ -162,7 +169,7 @@ DEFAULT_ANALYZER = "english"
 
 
 def analyzer_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ANALYZER_OF.items()), "lang string, analyzer string")
+    return fixed_table(spark, list(ANALYZER_OF.items()), "lang", "analyzer")
 
 
 def with_analyzer(documents: DataFrame, language: Column, mapping: DataFrame) -> DataFrame:
@@ -174,7 +181,7 @@ def with_analyzer(documents: DataFrame, language: Column, mapping: DataFrame) ->
     tag = F.when(language.startswith("pt-br"), "pt-br").when(F.length(language) >= 2, F.left(language, F.lit(2)))
     keyed = documents.withColumn("_tag", tag)
     return (
-        keyed.join(mapping.select(F.col("lang").alias("_tag"), "analyzer"), "_tag", "left")
+        keyed.join(broadcast_if_small(mapping.select(F.col("lang").alias("_tag"), "analyzer")), "_tag", "left")
         .withColumn("analyzer", F.coalesce("analyzer", F.lit(DEFAULT_ANALYZER)))
         .drop("_tag")
     )

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweft.sources.lists import rules_from_values
+from crawlweft.operators.staging import broadcast_if_small, is_small
+from crawlweft.sources.lists import fixed_table, rules_from_values
 
 INDEXABLE, NON_INDEXABLE, COMMON = (
     "IndexableMediaTypes",
@@ -14,7 +15,7 @@ INDEXABLE, NON_INDEXABLE, COMMON = (
 
 def rules(spark: SparkSession, sections: dict[str, list[str]]) -> DataFrame:
     rows = [(name, value) for name, values in sections.items() for value in values]
-    return rules_from_values(spark.createDataFrame(rows, "section string, value string"))
+    return rules_from_values(fixed_table(spark, rows, "section", "value"))
 
 
 def primary_type(media_type: Column) -> Column:
@@ -51,13 +52,15 @@ def decide(records: DataFrame, rule_table: DataFrame, column: str = "header_medi
     """Add `decision`: yes, no or unknown.
 
     Non-indexable rules go before indexable ones, primary types before exact
-    types.  The rule side is a configuration list; Spark broadcasts it after
-    checking its size and merges otherwise.
+    types.  A few media types make up most of any crawl, so the rules are
+    broadcast after counting them; only a rule list of a size no one keeps would
+    be merged instead.
     """
+    hint = F.broadcast if is_small(rule_table) else (lambda df: df)
     out = (
         records.withColumns({"_exact": F.lower(column), "_primary": primary_type(F.col(column))})
-        .join(_verdicts(rule_table, "primary", "_primary"), "_primary", "left")
-        .join(_verdicts(rule_table, "exact", "_exact"), "_exact", "left")
+        .join(hint(_verdicts(rule_table, "primary", "_primary")), "_primary", "left")
+        .join(hint(_verdicts(rule_table, "exact", "_exact")), "_exact", "left")
     )
     decision = (
         F.when(F.col(column).isNull(), "no")
@@ -73,6 +76,6 @@ def decide(records: DataFrame, rule_table: DataFrame, column: str = "header_medi
 def flag_common(documents: DataFrame, rule_table: DataFrame, column: str = "media_type") -> DataFrame:
     """Add `is_common_type`: exact, case-sensitive membership of the common list."""
     common = rule_table.filter(F.col("section") == COMMON).select(F.col("value").alias(column)).distinct()
-    return documents.join(common.withColumn("_common", F.lit(True)), column, "left").withColumn(
+    return documents.join(broadcast_if_small(common).withColumn("_common", F.lit(True)), column, "left").withColumn(
         "is_common_type", F.coalesce("_common", F.lit(False))
     ).drop("_common")

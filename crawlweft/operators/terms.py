@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from crawlweft.functions import tokens
+from crawlweft.operators.staging import broadcast_if_small
+from crawlweft.sources.lists import fixed_table
 
 # Index field -> (document column, analyzer).  "language" is the analyzer that
 # the document itself names.
@@ -49,8 +51,8 @@ STOP_WORD_LANGUAGES = (
 
 def default_stop_words(spark: SparkSession) -> DataFrame:
     """(analyzer, term) from the lists that ship with Spark: some 3,000 fixed rows."""
-    rows = [(a, w.lower()) for a in STOP_WORD_LANGUAGES for w in StopWordsRemover.loadDefaultStopWords(a)]
-    return spark.createDataFrame(rows, "analyzer string, term string").distinct()
+    rows = {(a, w.lower()) for a in STOP_WORD_LANGUAGES for w in StopWordsRemover.loadDefaultStopWords(a)}
+    return fixed_table(spark, sorted(rows), "analyzer", "term")
 
 
 def tokenize(documents: DataFrame, key: str, field: str, column: str, analyzer: str) -> DataFrame:
@@ -61,8 +63,12 @@ def tokenize(documents: DataFrame, key: str, field: str, column: str, analyzer:
 
 
 def drop_stop_words(rows: DataFrame, stop_words: DataFrame) -> DataFrame:
-    """Drop the stop words of each row's `analyzer`; positions keep their gaps."""
-    return rows.join(stop_words, ["analyzer", "term"], "left_anti")
+    """Drop the stop words of each row's `analyzer`; positions keep their gaps.
+
+    Stop words are the hottest terms there are, so their list is broadcast after
+    counting it rather than meeting the tokens in a shuffle.
+    """
+    return rows.join(broadcast_if_small(stop_words), ["analyzer", "term"], "left_anti")
 
 
 def tokenize_language(

@@ -16,6 +16,7 @@ from crawlweft.schemas import ATTRIBUTE_COLUMNS, CRAWL_RECORD
 from crawlweft.sinks import index
 from crawlweft.sources import bodies as body_source
 from crawlweft.sources import records as record_source
+from crawlweft.sources.lists import fixed_table
 from crawlweft.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -566,7 +567,7 @@ STOP_WORDS = [
 )
 def tokens_language(spark, sf_dir):
     docs = language.with_analyzer(d.texts(spark, sf_dir, "lang", "text"), F.col("lang"), language.analyzer_map(spark))
-    stop = spark.createDataFrame(STOP_WORDS, "analyzer string, term string")
+    stop = fixed_table(spark, STOP_WORDS, "analyzer", "term")
     rows = terms.tokenize_language(docs, "doc_id", "body", "text", stop)
     return rows.groupBy("analyzer", "term").agg(F.count(F.lit(1)).alias("n"), F.sum("position").alias("positions"))
 
@@ -925,7 +926,7 @@ def index_fields(spark, sf_dir):
         F.array(html.html_language(c)).alias("language"),
     )
     docs = language.with_analyzer(pages, F.element_at("language", 1), language.analyzer_map(spark))
-    stop = spark.createDataFrame(STOP_WORDS, "analyzer string, term string")
+    stop = fixed_table(spark, STOP_WORDS, "analyzer", "term")
     rows = terms.index_tokens(docs, stop).filter(~F.col("field").endswith(".bigram"))
     return rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("n"), F.sum("position").alias("positions"))
 

@@ -6,6 +6,16 @@ from pyspark.sql import functions as F
 from crawlweft import schemas
 
 
+def fixed_table(spark: SparkSession, rows: list[tuple[str, ...]], *names: str) -> DataFrame:
+    """A table of fixed texts whose exact size the planner knows."""
+
+    def literal(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    values = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
+
+
 def read_rule_list(spark: SparkSession, path: str) -> DataFrame:
     """Rule file -> (section, kind, value).
 
@@ -23,6 +33,7 @@ def read_rule_list(spark: SparkSession, path: str) -> DataFrame:
     return rules_from_values(
         values.filter((F.col("section") != "") & (F.trim("line") != "") & ~F.col("line").startswith("<>"))
         .select("section", F.trim("line").alias("value"))
+        .distinct()
     )
 
 
@@ -33,7 +44,7 @@ def rules_from_values(values: DataFrame) -> DataFrame:
         "section",
         F.when(primary, "primary").otherwise("exact").alias("kind"),
         F.when(primary, F.regexp_replace("value", r"/\*$", "")).otherwise(F.col("value")).alias("value"),
-    ).distinct()
+    )
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
