@@ -18,48 +18,58 @@ FLOOR = 0.5 / 10_000
 MIN_SHARE = 1 / 10_000
 
 
-def _gram_columns(documents: DataFrame, *keep: str, text: str = "text") -> DataFrame:
-    """Rows (*keep, g1, g2, g3): the n-grams that begin at each place of each word.
+def _words(documents: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """Rows (*keep, w): every word of the whole text, padded."""
+    word = F.explode(F.regexp_extract_all(text, F.lit(LETTERS), F.lit(0))).alias("w")
+    return documents.select(*keep, word).select(*keep, F.concat(F.lit(" "), "w", F.lit(" ")).alias("w"))
 
-    Works over whole texts without a shuffle.  Words are exploded before their
-    places, so a row stays as small as a word, and every step runs in generated
-    code.  A gram that would be cut short, or is the blank alone, is null.
-    """
-    places = (
-        documents.select(*keep, F.explode(F.regexp_extract_all(text, F.lit(LETTERS), F.lit(0))).alias("w"))
-        .select(*keep, F.concat(F.lit(" "), "w", F.lit(" ")).alias("w"))
-        .select(*keep, "w", F.explode(F.sequence(F.lit(1), F.length("w"))).alias("i"))
-    )
-    return places.select(
-        *keep,
-        F.expr("CASE WHEN i > 1 AND i < length(w) THEN substring(w, i, 1) END").alias("g1"),
-        F.expr("CASE WHEN i < length(w) THEN substring(w, i, 2) END").alias("g2"),
-        F.expr("CASE WHEN i < length(w) - 1 THEN substring(w, i, 3) END").alias("g3"),
-    )
+
+def _places(words: DataFrame, *keep: str) -> DataFrame:
+    """Rows (*keep, w, i): each place of each word.  No shuffle, and rows stay small."""
+    return words.select(*keep, "w", F.explode(F.sequence(F.lit(1), F.length("w"))).alias("i"))
 
 
-def ngrams(documents: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+def _grams(words: DataFrame, *keep: str) -> DataFrame:
     """Rows (*keep, n, ngram), one per occurrence."""
+    grams = [F.expr(f"CASE WHEN i + {n - 1} <= length(w) THEN substring(w, i, {n}) END") for n in (1, 2, 3)]
     return (
-        _gram_columns(documents, *keep, text=text)
-        .select(*keep, F.posexplode(F.array("g1", "g2", "g3")).alias("n0", "ngram"))
-        .filter(F.col("ngram").isNotNull())
+        _places(words, *keep)
+        .select(*keep, F.posexplode(F.array(*grams)).alias("n0", "ngram"))
+        .filter(F.col("ngram") != " ")
         .select(*keep, (F.col("n0") + 1).alias("n"), "ngram")
     )
 
 
+def _packed(codes: list[str]) -> str:
+    """SQL for one long out of up to three code points of 21 bits, so that joins hash longs, not text."""
+    return " | ".join(f"shiftleft({c}, {21 * (len(codes) - 1 - i)})" for i, c in enumerate(codes))
+
+
+def _gram_keys(words: DataFrame, *keep: str) -> DataFrame:
+    """Rows (*keep, g1, g2, g3): packed n-grams that begin at each place, null where there is none."""
+    codes = [F.expr(f"cast(ascii(substring(w, i + {at}, 1)) AS bigint)").alias(f"c{at}") for at in range(3)]
+    return _places(words, *keep).select(*keep, "i", F.length("w").alias("size"), *codes).select(
+        *keep,
+        F.expr("CASE WHEN c0 <> ascii(' ') THEN c0 END").alias("g1"),
+        F.expr(f"CASE WHEN i + 1 <= size THEN {_packed(['c0', 'c1'])} END").alias("g2"),
+        F.expr(f"CASE WHEN i + 2 <= size THEN {_packed(['c0', 'c1', 'c2'])} END").alias("g3"),
+    )
+
+
 def train_profiles(
     documents: DataFrame, lang: str = "lang", text: str = "text", min_share: float = MIN_SHARE
 ) -> DataFrame:
     """(lang, n, ngram, count, total) from labelled texts.
 
-    Counts combine on the map side, so the shuffle carries distinct n-grams per
-    task, whatever the language mix.  They are staged, as the totals need a
-    second pass.  `total` is taken before rare n-grams go.
+    Equal words are counted before their n-grams are taken, which leaves a small
+    part of the n-grams of running text.  Both counts combine on the map side, so
+    neither a hot word nor a hot language skews them.  They are staged, as the
+    totals need a second pass.  `total` is taken before rare n-grams go.
     """
     labelled = documents.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    words = _words(labelled, "lang").groupBy("lang", "w").agg(F.count(F.lit(1)).alias("seen"))
     counts = write_stage(
-        ngrams(labelled, "lang").groupBy("lang", "n", "ngram").agg(F.count(F.lit(1)).alias("count")), "ngrams"
+        _grams(words, "lang", "seen").groupBy("lang", "n", "ngram").agg(F.sum("seen").alias("count")), "ngrams"
     )
     totals = counts.groupBy("lang").agg(*[F.sum(F.when(F.col("n") == n, F.col("count"))).alias(f"n{n}") for n in (1, 2, 3)])
     total = F.when(F.col("n") == 1, F.col("n1")).when(F.col("n") == 2, F.col("n2")).otherwise(F.col("n3"))
@@ -71,15 +81,16 @@ def train_profiles(
 
 
 def _weights(profiles: DataFrame, languages: list[str], n: int) -> DataFrame:
-    """One row per n-gram of length `n`: its log-probability in each language, as an array.
+    """One row per packed n-gram of length `n`: its log-probability in each language, as an array.
 
     An array keeps the joined rows narrow, so many languages stay in generated code.
     """
     p = F.ln(F.lit(FLOOR) + F.col("count") / F.col("total"))
     floor = F.ln(F.lit(FLOOR))
+    codes = [f"cast(ascii(substring(ngram, {at + 1}, 1)) AS bigint)" for at in range(n)]
     return (
         profiles.filter(F.col("n") == n)
-        .groupBy(F.col("ngram").alias(f"g{n}"))
+        .groupBy(F.expr(_packed(codes)).alias(f"g{n}"))
         .agg(
             F.array(*[F.coalesce(F.max(F.when(F.col("lang") == lang, p)), floor) for lang in languages]).alias(f"w{n}")
         )
@@ -109,7 +120,7 @@ def detect(
     or a file, as it is read more than once.
     """
     languages = languages_of(profiles)
-    grams = _gram_columns(documents.select(key, F.col(text).alias("text")), key)
+    grams = _gram_keys(_words(documents, key, text=text), key)
     for n in (1, 2, 3):
         grams = grams.join(broadcast_if_small(_weights(profiles, languages, n)), f"g{n}", "left")
     scores = (
