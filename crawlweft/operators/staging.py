@@ -22,18 +22,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/crawlweft/{name}-{uuid.uuid4().hex}"
 
 
-def write_stage(df: DataFrame, name: str) -> DataFrame:
+def write_stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Later passes then read only the columns they need, and a lost executor costs
     a re-read instead of the whole lineage.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = f"{folder}/{name}" if folder else scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that `scratch_path` made, once nothing reads its stages any more."""
+    if "/crawlweft/" not in folder:
+        raise ValueError(f"not a scratch folder: {folder}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether `df` has at most `max_rows` rows; counted, never estimated."""
     return df.count() <= max_rows

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from crawlweft import schemas
 from crawlweft.functions import headers
 from crawlweft.operators import extract, groups, language, media_types, simhash
-from crawlweft.operators.staging import write_stage
+from crawlweft.operators.staging import scratch_path, write_stage
 from crawlweft.sinks import index
 from crawlweft.sources import bodies as body_source
 from crawlweft.sources import records as record_source
@@ -29,8 +29,14 @@ DOCUMENT_VERSION = T.StructType([*schemas.TEXT_DOCUMENT.fields, T.StructField("v
 
 
 class Indexed(NamedTuple):
+    """Lazy results, and the folder of stages they read.
+
+    Once both are written, `staging.discard(spark, stages)` frees the folder.
+    """
+
     documents: DataFrame
     rejects: DataFrame
+    stages: str
 
 
 def _rejects(members: DataFrame, rolled: DataFrame, extracted: DataFrame, no_language: DataFrame) -> DataFrame:
@@ -67,16 +73,17 @@ def build_documents(
     `fresh` holds the originals of an incremental run; without it every group
     that has an original is built.  `bodies` is (content_key, content).
     """
+    stages = scratch_path(records.sparkSession, "run")
     members = media_types.decide(
         record_source.typed(groups.grouped_records(records, fresh)), rule_table
     )
-    rolled = write_stage(groups.rollup(members), "groups")
+    rolled = write_stage(groups.rollup(members), "groups", stages)
     usable = index.valid_groups(rolled.filter("NOT malformed")).withColumn(
         "fetched_at", F.timestamp_millis((F.col("fetched_num") * 1000).cast("bigint"))
     )
 
     attached = body_source.attach_bodies(usable.filter("indexable"), bodies)
-    extracted = write_stage(extract.extract(attached), "extracted")
+    extracted = write_stage(extract.extract(attached), "extracted", stages)
     texts = extracted.filter((F.col("status") == extract.OK) & (F.col("body") != "")).select("fingerprint", "body")
 
     detected = language.detect(texts, profiles, "fingerprint", "body")
@@ -95,6 +102,7 @@ def build_documents(
             ).otherwise(F.col("header_language")).alias("lang"),
         ),
         "languages",
+        stages,
     )
     digests = simhash.similarity_hash_by_language(texts, spoken, "fingerprint", "body", word_hash)
     spoken_with_analyzer = language.with_analyzer(spoken.drop("item_name", "has_text"), F.col("lang"), analyzers)
@@ -174,4 +182,4 @@ def build_documents(
     )
     versioned = index.strict(documents, DOCUMENT_VERSION)
     no_language = spoken.filter(F.col("has_text") & F.col("detected").isNull())
-    return Indexed(versioned, _rejects(members, rolled, extracted, no_language))
+    return Indexed(versioned, _rejects(members, rolled, extracted, no_language), stages)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlweft import schemas
+from crawlweft.operators.staging import discard
 from crawlweft.plans.pipeline import DOCUMENT_VERSION, Indexed
 from crawlweft.sinks import index
 from crawlweft.sources import records as record_source
@@ -44,13 +45,14 @@ def run_batch(
     spark = batch.sparkSession
     mark = saved_mark(spark, target, before=batch_id)
     fresh = record_source.originals(batch, mark)
-    documents, rejects = build(fresh)
+    documents, rejects, stages = build(fresh)
     if mark is not None:
         late = record_source.late_records(batch, mark)
         rejects = rejects.unionByName(index.reject(late, "late", "fetched at or before the mark"))
     index.write_batch(documents, f"{target}/documents", batch_id)
     index.write_batch(rejects, f"{target}/rejects", batch_id)
     save_mark(batch, mark, target, batch_id)
+    discard(spark, stages)
 
 
 def start(

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from helpers import record, records
 from pyspark.sql import functions as F
@@ -42,7 +44,7 @@ def test_one_document(spark, parts):
         ),
     )
     body = spark.createDataFrame([("www.a.example/p.html", PAGE)], schemas.BODY)
-    documents, rejects = build_documents(rows, body, **parts)
+    documents, rejects, _ = build_documents(rows, body, **parts)
     assert documents.schema.names == [*schemas.TEXT_DOCUMENT.names, "version"]
     (doc,) = [r.asDict() for r in documents.collect()]
     assert rejects.count() == 0
@@ -76,7 +78,7 @@ def test_every_way_to_fail(spark, parts):
         record("lonely", "f10", original="x"),
     )
     body = bodies(spark, ok=PAGE, sheet="...", digits=" 12 345 ", blank=" \n", bad=PAGE, nowhere=PAGE)
-    documents, rejects = build_documents(rows, body, **parts)
+    documents, rejects, _ = build_documents(rows, body, **parts)
     docs = {r["id"]: r for r in documents.collect()}
     assert set(docs) == {"f1", "f3", "f4", "f7", "f8", "f9"}
     assert {(r["item_name"], r["stage"], r["reason"]) for r in rejects.collect()} == {
@@ -98,7 +100,7 @@ def test_every_way_to_fail(spark, parts):
 def test_a_hot_group_is_whole_over_its_parts(spark, parts):
     hot = [record(f"h{i}", "hot", fetched=str(1000 + i), original="self" if i == 0 else "h0") for i in range(120)]
     cold = [record(f"c{i}", f"f{i}", content_type="audio/x") for i in range(60)]
-    documents, _ = build_documents(records(spark, *hot, *cold), bodies(spark, h0=PAGE), part_rows=10, **parts)
+    documents, _, _ = build_documents(records(spark, *hot, *cold), bodies(spark, h0=PAGE), part_rows=10, **parts)
     rows = documents.filter("id = 'hot'").collect()
     assert len(rows) > 5 and len({r["part"] for r in rows}) == len(rows)
     assert sorted(u for r in rows for u in r["url"]) == sorted(r[5] for r in hot)
@@ -124,7 +126,11 @@ def test_stream_matches_batch_and_survives_a_repeated_batch(spark, parts, tmp_pa
         return docs, sorted((r["item_name"], r["stage"]) for r in ingest.rejects(spark, target).collect())
 
     records(spark, *first).coalesce(1).write.parquet(folder)
+    stages = os.path.join(spark.conf.get("spark.checkpoint.dir"), "crawlweft")
+    runs = lambda: [d for d in os.listdir(stages) if d.startswith("run-")]
+    before = runs()
     drain()
+    assert runs() == before  # a batch leaves no stages behind
     assert ingest.saved_mark(spark, target) == 200.0
     assert state()[0] == {
         "f1": (["http://a.example/a", "http://a.example/a2"], 100.0),
@@ -149,7 +155,7 @@ def test_stream_matches_batch_and_survives_a_repeated_batch(spark, parts, tmp_pa
 
 
 def test_content_is_dropped_before_the_features(spark, parts):
-    documents, _ = build_documents(records(spark, record("a")), bodies(spark, a=PAGE), **parts)
+    documents, _, _ = build_documents(records(spark, record("a")), bodies(spark, a=PAGE), **parts)
     plan = documents._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all(content" not in plan and "Aggregate" in plan
     assert documents.select(F.col("id")).count() == 1
