@@ -9,7 +9,7 @@ group.  Arrays are packed last, in parts of bounded length.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlweft.operators.staging import broadcast_if_small
+from crawlweft.operators.staging import broadcast_if_small, write_stage
 
 PART_ROWS = 10_000
 
@@ -125,7 +125,13 @@ def group_sets(records: DataFrame) -> DataFrame:
     )
 
 
-def pack_lists(records: DataFrame, groups: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+def oversized_groups(records: DataFrame, part_rows: int) -> DataFrame:
+    """(fingerprint, n_parts) of the groups, with an original or not, that need several parts."""
+    sizes = records.filter(F.col("fingerprint").isNotNull()).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.filter(F.col("n") > part_rows).select("fingerprint", F.ceil(F.col("n") / part_rows).alias("n_parts"))
+
+
+def pack_lists(records: DataFrame, part_rows: int = PART_ROWS, stages: str | None = None) -> DataFrame:
     """Arrays of a group's values: one row per (fingerprint, part).
 
     A group of up to `part_rows` records is one part.  A larger one is split over
@@ -135,9 +141,7 @@ def pack_lists(records: DataFrame, groups: DataFrame, part_rows: int = PART_ROWS
     parts: broadcast when they are few, else merged with AQE splitting the skew,
     which the repartition below it allows.
     """
-    oversized = groups.filter(F.col("n_records") > part_rows).select(
-        "fingerprint", F.ceil(F.col("n_records") / part_rows).alias("n_parts")
-    )
+    oversized = write_stage(oversized_groups(records, part_rows), "oversized", stages)
     columns = list(LIST_FIELDS)
     sized = records.filter(F.col("fingerprint").isNotNull()).select(
         "fingerprint", record_order().alias("o"), "item_name", *[c for c in columns if c != "url"], "url"

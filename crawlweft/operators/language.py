@@ -98,6 +98,8 @@ def _weights(profiles: DataFrame, languages: list[str], n: int) -> DataFrame:
 
 
 MAX_LANGUAGES = 1000
+# Size of one table of weights that is still broadcast.
+MAX_WEIGHT_BYTES = 256 << 20
 
 
 def languages_of(profiles: DataFrame) -> list[str]:
@@ -121,8 +123,9 @@ def detect(
     """
     languages = languages_of(profiles)
     grams = _gram_keys(_words(documents, key, text=text), key)
+    max_rows = MAX_WEIGHT_BYTES // (64 + 8 * len(languages))
     for n in (1, 2, 3):
-        grams = grams.join(broadcast_if_small(_weights(profiles, languages, n)), f"g{n}", "left")
+        grams = grams.join(broadcast_if_small(_weights(profiles, languages, n), max_rows), f"g{n}", "left")
     scores = (
         grams.groupBy(key)
         .agg(

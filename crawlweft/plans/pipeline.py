@@ -117,7 +117,7 @@ def build_documents(
             headers.declared_size(F.col("content_length")).alias("size"),
         ), allowMissingColumns=True)
     )
-    lists = groups.pack_lists(members, rolled, part_rows)
+    lists = groups.pack_lists(members, part_rows, stages)
     narrow = (
         lists.join(content.select("fingerprint", F.col("fetched_num").alias("version")), "fingerprint")
         .join(digests, "fingerprint", "left")

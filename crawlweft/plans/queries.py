@@ -16,7 +16,7 @@ from crawlweft.schemas import ATTRIBUTE_COLUMNS, CRAWL_RECORD
 from crawlweft.sinks import index
 from crawlweft.sources import bodies as body_source
 from crawlweft.sources import records as record_source
-from crawlweft.sources.lists import fixed_table
+from crawlweft.sources.lists import fixed_table, read_profiles
 from crawlweft.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,8 +97,7 @@ def dup_group_filenames(spark, sf_dir):
     FROM t WHERE fingerprint IS NOT NULL GROUP BY fingerprint"""
 )
 def packed_groups(spark, sf_dir):
-    records = members(spark, sf_dir)
-    lists = groups.pack_lists(records, groups.rollup(records))
+    lists = groups.pack_lists(members(spark, sf_dir))
     return lists.select(
         "fingerprint",
         "part",
@@ -122,6 +121,13 @@ def incremental_members(spark, sf_dir):
     return groups.grouped_records(records, fresh).select("fingerprint", "item_name")
 
 
+@query(f"{_ROLLED} SELECT fingerprint, filename_hint FROM g WHERE filename_hint IS NOT NULL")
+def filename_hint(spark, sf_dir):
+    """The first file name with a dot in each group."""
+    rolled = groups.rollup(members(spark, sf_dir))
+    return rolled.filter(F.col("filename_hint").isNotNull()).select("fingerprint", "filename_hint")
+
+
 # --- scans and state --------------------------------------------------------
 
 
@@ -442,6 +448,15 @@ def language_profile(spark, sf_dir):
     return language.train_profiles(d.texts(spark, sf_dir, "lang", "text"))
 
 
+@query(o.PROFILE)
+def profile_files(spark, sf_dir):
+    """Profiles saved as one JSON object per language and read back."""
+    path = scratch_path(spark, "profiles")
+    trained = language.train_profiles(d.texts(spark, sf_dir, "lang", "text"))
+    index.write_profiles(trained, path)
+    return read_profiles(spark, path)
+
+
 @query(f"WITH profile AS ({o.PROFILE}) {o.detected('profile', 'documents', 'doc_id', 'text')}")
 def language_detect(spark, sf_dir):
     docs = d.texts(spark, sf_dir, "lang", "text")
@@ -643,8 +658,7 @@ def keyword_lookup(spark, sf_dir):
       AND modified_at BETWEEN TIMESTAMP '2013-04-17 13:00:00' AND TIMESTAMP '2013-04-17 20:00:00'"""
 )
 def date_range(spark, sf_dir):
-    records = members(spark, sf_dir)
-    docs = groups.pack_lists(records, groups.rollup(records))
+    docs = groups.pack_lists(members(spark, sf_dir))
     found = lookup.date_range(
         docs, "date_modified", F.lit("2013-04-17 13:00:00").cast("timestamp"), F.lit("2013-04-17 20:00:00").cast("timestamp")
     )

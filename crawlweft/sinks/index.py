@@ -71,6 +71,18 @@ def reject(df: DataFrame, stage: str, reason: str) -> DataFrame:
     return df.select("item_name", "fingerprint", F.lit(stage).alias("stage"), F.lit(reason).alias("reason"))
 
 
+def write_profiles(profiles: DataFrame, path: str) -> None:
+    """Save (lang, n, ngram, count, total) rows as one JSON object per language.
+
+    A trained profile is bounded by its share of the language's letters, so a
+    language fits one row.
+    """
+    total = [F.max(F.when(F.col("n") == n, F.col("total"))) for n in (1, 2, 3)]
+    profiles.groupBy(F.col("lang").alias("name")).agg(
+        F.map_from_entries(F.collect_list(F.struct("ngram", "count"))).alias("freq"), F.array(*total).alias("n_words")
+    ).write.json(path)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch partition; writing it again replaces it."""
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -84,13 +84,14 @@ def test_rollup(spark, rules):
 
 @pytest.mark.parametrize("part_rows", [1000, 10])
 def test_pack_lists_keeps_hot_groups_whole(spark, rules, part_rows):
+    """Also when the hot group has no original."""
     rows = [
-        record(f"i{i}", "hot" if i % 3 == 0 else f"f{i}", fetched=str(1000 + i), url=f"http://a.example/{i % 7}/{i // 2}.html",
+        record(f"i{i}", "hot" if i % 3 == 0 else f"f{i}", original="x" if i % 3 == 0 else "self", fetched=str(1000 + i), url=f"http://a.example/{i % 7}/{i // 2}.html",
                last_modified=None if i % 2 else "1994-11-15T08:12:31Z")
         for i in range(300)
     ]
     typed = members(spark, rules, *rows)
-    lists = groups.pack_lists(typed, groups.rollup(typed), part_rows).collect()
+    lists = groups.pack_lists(typed, part_rows).collect()
     hot = [r for r in lists if r["fingerprint"] == "hot"]
     assert len({(r["fingerprint"], r["part"]) for r in lists}) == len(lists)
     if part_rows == 10:
