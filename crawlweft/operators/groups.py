@@ -125,13 +125,26 @@ def group_sets(records: DataFrame) -> DataFrame:
     )
 
 
-def oversized_groups(records: DataFrame, part_rows: int) -> DataFrame:
+def oversized_groups(records: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """(fingerprint, n_parts) of the groups, with an original or not, that need several parts."""
     sizes = records.filter(F.col("fingerprint").isNotNull()).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
     return sizes.filter(F.col("n") > part_rows).select("fingerprint", F.ceil(F.col("n") / part_rows).alias("n_parts"))
 
 
-def pack_lists(records: DataFrame, part_rows: int = PART_ROWS, stages: str | None = None) -> DataFrame:
+def parts_of(documents: DataFrame, oversized: DataFrame) -> DataFrame:
+    """One row per part of each document: adds `part`, from 0 up.
+
+    Later joins use (fingerprint, part), which spreads the parts of a hot group.
+    """
+    n_parts = F.coalesce("n_parts", F.lit(1)).cast("int")
+    return (
+        documents.join(broadcast_if_small(oversized), "fingerprint", "left")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
+        .drop("n_parts")
+    )
+
+
+def pack_lists(records: DataFrame, oversized: DataFrame | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Arrays of a group's values: one row per (fingerprint, part).
 
     A group of up to `part_rows` records is one part.  A larger one is split over
@@ -139,9 +152,11 @@ def pack_lists(records: DataFrame, part_rows: int = PART_ROWS, stages: str | Non
     stays a set); no task or row holds much more than `part_rows` members and
     none is dropped.  Only the oversized groups are joined to find the number of
     parts: broadcast when they are few, else merged with AQE splitting the skew,
-    which the repartition below it allows.
+    which the repartition below it allows.  `oversized` is `oversized_groups` of
+    the same records, staged.
     """
-    oversized = write_stage(oversized_groups(records, part_rows), "oversized", stages)
+    if oversized is None:
+        oversized = write_stage(oversized_groups(records, part_rows), "oversized")
     columns = list(LIST_FIELDS)
     sized = records.filter(F.col("fingerprint").isNotNull()).select(
         "fingerprint", record_order().alias("o"), "item_name", *[c for c in columns if c != "url"], "url"

@@ -117,12 +117,10 @@ def build_documents(
             headers.declared_size(F.col("content_length")).alias("size"),
         ), allowMissingColumns=True)
     )
-    lists = groups.pack_lists(members, part_rows, stages)
-    narrow = (
-        lists.join(content.select("fingerprint", F.col("fetched_num").alias("version")), "fingerprint")
-        .join(digests, "fingerprint", "left")
-        .join(spoken_with_analyzer, "fingerprint", "left")
-    )
+    oversized = write_stage(groups.oversized_groups(members, part_rows), "oversized", stages)
+    lists = groups.pack_lists(members, oversized, part_rows)
+    parts = groups.parts_of(content.select("fingerprint", F.col("fetched_num").alias("version")), oversized)
+    features = digests.join(spoken_with_analyzer, "fingerprint", "full").withColumn("part", F.lit(0))
     scalars = media_types.flag_common(
         content.select(
             "fingerprint",
@@ -146,23 +144,23 @@ def build_documents(
         ),
         rule_table,
     )
-    joined = narrow.join(scalars, ["fingerprint", "part"], "left")
+    # Every join is by (fingerprint, part), so a hot group's lists stay spread and move once.
+    where = ["fingerprint", "part"]
+    joined = parts.join(lists, where, "left").join(features, where, "left").join(scalars, where, "left")
     is_head = F.col("part") == 0
+    no_dates = F.expr("cast(array() as array<timestamp>)")
     none = F.expr("cast(array() as array<string>)")
     documents = joined.select(
         F.col("fingerprint").alias("id"),
         "part",
-        "url",
-        "raw_url",
-        "filename",
+        *[F.coalesce(name, none).alias(name) for name in ("url", "raw_url", "filename")],
         "title",
         "body",
         "media_type",
         "charset",
-        "date_discovered",
-        "date_fetched",
+        *[F.coalesce(name, no_dates).alias(name) for name in ("date_discovered", "date_fetched")],
         F.array_compact(F.array("meta_created")).alias("date_created"),
-        F.array_compact(F.concat("date_modified", F.array("meta_modified"))).alias("date_modified"),
+        F.array_compact(F.concat(F.coalesce("date_modified", no_dates), F.array("meta_modified"))).alias("date_modified"),
         F.when(
             is_head, language.language_set(F.col("header_language"), F.col("detected"), F.col("html_language"))
         ).otherwise(none).alias("language"),

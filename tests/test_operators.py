@@ -91,7 +91,7 @@ def test_pack_lists_keeps_hot_groups_whole(spark, rules, part_rows):
         for i in range(300)
     ]
     typed = members(spark, rules, *rows)
-    lists = groups.pack_lists(typed, part_rows).collect()
+    lists = groups.pack_lists(typed, part_rows=part_rows).collect()
     hot = [r for r in lists if r["fingerprint"] == "hot"]
     assert len({(r["fingerprint"], r["part"]) for r in lists}) == len(lists)
     if part_rows == 10:
