@@ -1,5 +1,6 @@
 """Registered queries: each reads whole tables, with the SQL that checks it."""
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +30,12 @@ MARK = 1366206000.0
 
 def query(oracle: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates are compared as UTC text
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if oracle:
             ORACLES[fn.__name__] = oracle
         return fn

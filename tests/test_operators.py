@@ -157,6 +157,16 @@ def test_profiles_and_detection_against_brute_force(spark):
     assert found == expected and 4 not in found and found[2] == "de" and found[1] == "en"
 
 
+def test_detection_without_broadcast_agrees(spark, monkeypatch):
+    docs = spark.createDataFrame(TEXTS, "doc_id long, lang string, text string")
+    profiles = write_stage(language.train_profiles(docs), "profiles")
+    want = sorted(map(tuple, language.detect(docs, profiles).collect()))
+    monkeypatch.setattr(language, "MAX_WEIGHT_BYTES", 0)
+    merged = language.detect(docs, profiles)
+    assert "ResolvedHint" not in merged._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, merged.collect())) == want
+
+
 def test_detection_does_not_shuffle_ngrams(spark):
     docs = spark.createDataFrame(TEXTS, "doc_id long, lang string, text string")
     profiles = write_stage(language.train_profiles(docs), "profiles")

@@ -97,6 +97,20 @@ def test_every_way_to_fail(spark, parts):
     assert docs["f9"]["analyzer"] == "english" and docs["f9"]["language"] == []
 
 
+def test_bodies_as_bytes(spark, parts):
+    rows = records(
+        spark,
+        record("k", "f1", content_type="text/plain; charset=windows-1252"),
+        record("x", "f2", content_type="text/plain; charset=x-unheard-of"),
+    )
+    body = spark.createDataFrame([("k", bytearray("der zaun ist grün €".encode("cp1252"))), ("x", bytearray(b"abc"))], "content_key string, bytes binary")
+    documents, rejects, _ = build_documents(rows, body, **parts)
+    docs = {r["id"]: r for r in documents.collect()}
+    assert (docs["f1"]["body"], docs["f1"]["size"], docs["f1"]["charset"]) == ("der zaun ist grün €", 19, "windows-1252")
+    assert docs["f2"]["body"] is None
+    assert [(r["item_name"], r["stage"], r["reason"]) for r in rejects.collect()] == [("x", "parse", "charset")]
+
+
 def test_a_hot_group_is_whole_over_its_parts(spark, parts):
     hot = [record(f"h{i}", "hot", fetched=str(1000 + i), original="self" if i == 0 else "h0") for i in range(120)]
     cold = [record(f"c{i}", f"f{i}", content_type="audio/x") for i in range(60)]

@@ -2,6 +2,7 @@ import gzip
 import json
 import os
 
+import pytest
 from helpers import record, records
 from pyspark.sql import functions as F
 
@@ -79,3 +80,16 @@ def test_profile_files(spark, tmp_path):
     (tmp_path / "en").write_text(json.dumps({"freq": {"a": 5, "th": 3, "the": 2}, "n_words": [50, 30, 20], "name": "en"}))
     got = sorted(map(tuple, lists.read_profiles(spark, str(tmp_path)).collect()))
     assert got == [("en", 1, "a", 5, 50), ("en", 2, "th", 3, 30), ("en", 3, "the", 2, 20)]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_attach_bodies(spark, monkeypatch, few):
+    monkeypatch.setattr(bodies, "is_small", lambda df: few)
+    pages = source.typed(records(spark, record("?a/"), record("b", content_type="text/plain; charset=koi8-r"), record("gone")))
+    stored = spark.createDataFrame(
+        [("a", bytearray("grün".encode())), ("b", bytearray("мир".encode("koi8-r"))), ("other", bytearray(b"x"))],
+        "content_key string, bytes binary",
+    )
+    got = {r["item_name"]: (r["content"], r["n_bytes"], r["has_body"]) for r in bodies.attach_bodies(pages, stored).collect()}
+    assert got == {"?a/": ("grün", 5, True), "b": ("мир", 3, True), "gone": (None, None, False)}
+    assert [r["item_name"] for r in bodies.missing_bodies(pages, stored).collect()] == ["gone"]
