@@ -101,7 +101,10 @@ def extract(pages: DataFrame) -> DataFrame:
                     F.array_union(F.coalesce("page_links", none), textscan.text_links(F.col("body")))
                 ),
             ),
-            "email_addresses": F.when(ok, textscan.emails(content, F.col("body"))),
+            # Plain text holds the same addresses as its trimmed body, so only pages are read twice.
+            "email_addresses": F.when(ok & F.col("_html"), textscan.emails(content, F.col("body"))).when(
+                ok, textscan.emails(content)
+            ),
             "text_length": F.when(ok, F.length("body")).otherwise(0),
             "size": F.when(
                 ok,

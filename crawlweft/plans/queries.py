@@ -904,6 +904,17 @@ def full_pipeline(spark, sf_dir):
     return _flat(_index(spark, sf_dir, d.all_records(spark, sf_dir)).documents)
 
 
+@query(
+    _PIPELINE_DOCUMENTS
+    + f""" AND y.fingerprint IN (SELECT fingerprint FROM t WHERE {_IS_ORIGINAL} AND fetched_num > {MARK})"""
+)
+def incremental_pipeline(spark, sf_dir):
+    """Only the documents that originals fetched after the mark touch."""
+    records = d.all_records(spark, sf_dir)
+    fresh = record_source.originals(records, MARK)
+    return _flat(_index(spark, sf_dir, records, fresh).documents)
+
+
 @query(
     _PIPELINE
     + """ SELECT item_name, fingerprint, stage, reason FROM (
