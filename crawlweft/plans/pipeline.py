@@ -3,9 +3,10 @@
     records -> groups by fingerprint -> bodies by key -> text and fields
             -> language, similarity hash -> lists -> documents
 
-Two tables are staged in the shared folder: the group rollup and the extracted
-text.  Everything after reads only the columns it needs from them, and a text
-crosses the network twice: once to meet its record, once to meet its features.
+The group rollup, the extracted text, the languages and the sizes of oversized
+groups are staged in the shared folder.  Later steps read only the columns they
+need from them, and a text crosses the network twice: once to meet its record,
+once to meet its features.
 """
 
 from collections.abc import Callable
@@ -77,7 +78,9 @@ def build_documents(
     members = media_types.decide(
         record_source.typed(groups.grouped_records(records, fresh)), rule_table
     )
-    rolled = write_stage(groups.rollup(members), "groups", stages)
+    # `part` is written into the stages: as a mere constant the planner would take it
+    # out of the join keys below, and put a hot group's lists back into one task.
+    rolled = write_stage(groups.rollup(members).withColumn("part", F.lit(0)), "groups", stages)
     usable = index.valid_groups(rolled.filter("NOT malformed")).withColumn(
         "fetched_at", F.timestamp_millis((F.col("fetched_num") * 1000).cast("bigint"))
     )
@@ -87,12 +90,11 @@ def build_documents(
     texts = extracted.filter((F.col("status") == extract.OK) & (F.col("body") != "")).select("fingerprint", "body")
 
     detected = language.detect(texts, profiles, "fingerprint", "body")
-    tags = extracted.filter(F.col("status") == extract.OK).select(
-        "fingerprint", "item_name", "html_language", "header_language", F.col("text_length") > 0
-    ).toDF("fingerprint", "item_name", "html_language", "header_language", "has_text")
+    tags = extracted.filter(F.col("status") == extract.OK).withColumn("has_text", F.col("text_length") > 0)
     spoken = write_stage(
         tags.join(detected, "fingerprint", "left").select(
             "fingerprint",
+            "part",
             "item_name",
             "has_text",
             "detected",
@@ -105,7 +107,9 @@ def build_documents(
         stages,
     )
     digests = simhash.similarity_hash_by_language(texts, spoken, "fingerprint", "body", word_hash)
-    spoken_with_analyzer = language.with_analyzer(spoken.drop("item_name", "has_text"), F.col("lang"), analyzers)
+    features = language.with_analyzer(
+        spoken.select("fingerprint", "part", "detected", "lang"), F.col("lang"), analyzers
+    ).join(digests, "fingerprint", "left")
 
     content = (
         extracted.filter(F.col("status") != extract.MISSING)
@@ -120,11 +124,10 @@ def build_documents(
     oversized = write_stage(groups.oversized_groups(members, part_rows), "oversized", stages)
     lists = groups.pack_lists(members, oversized, part_rows)
     parts = groups.parts_of(content.select("fingerprint", F.col("fetched_num").alias("version")), oversized)
-    features = digests.join(spoken_with_analyzer, "fingerprint", "full").withColumn("part", F.lit(0))
     scalars = media_types.flag_common(
         content.select(
             "fingerprint",
-            F.lit(0).alias("part"),
+            "part",
             "title",
             "body",
             "media_type",

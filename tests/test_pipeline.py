@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 from helpers import record, records
@@ -168,8 +169,14 @@ def test_stream_matches_batch_and_survives_a_repeated_batch(spark, parts, tmp_pa
     assert state() == expected and ingest.saved_mark(spark, target) == 400.0
 
 
-def test_content_is_dropped_before_the_features(spark, parts):
-    documents, _, _ = build_documents(records(spark, record("a")), bodies(spark, a=PAGE), **parts)
-    plan = documents._jdf.queryExecution().optimizedPlan().toString()
-    assert "regexp_extract_all(content" not in plan and "Aggregate" in plan
+def test_documents_are_joined_by_part(spark, parts):
+    """No join after the lists are packed may key on the fingerprint alone: that would undo the spreading."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        documents, _, _ = build_documents(records(spark, record("a")), bodies(spark, a=PAGE), **parts)
+        plan = documents._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line and "part#" in line]
+    assert len(joins) == 3 and all(re.search(r"\[fingerprint#\d+, part#\d+\], \[fingerprint#\d+, part#\d+\]", j) for j in joins)
     assert documents.select(F.col("id")).count() == 1
