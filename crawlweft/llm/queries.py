@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweft.llm import decontaminate, language_id, licences, packing, quality, toxicity
+from crawlweft.llm import decontaminate, fingerprints, language_id, licences, ngram_join, packing, quality, substrings, toxicity, warc
 from crawlweft.llm.samples import learnable
 
 #: Vocabulary files of a public tokenizer, present on every machine.
@@ -30,6 +30,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~may).alias("held_out"), "score", "predicted")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_versions(table(spark, sf_dir, "documents"))
+
+
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_licences(table(spark, sf_dir, "documents"))
     return found.select(
@@ -54,6 +58,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY_JSON, VOCABULARY_RANKS, VOCABULARY_PATTERN)
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, threshold=(85, 100))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     may = learnable("doc_id", 5, 0)
@@ -62,6 +70,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~may).alias("held_out"), "score", "predicted")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     may = learnable("doc_id", 4, 2)
@@ -70,7 +82,25 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~may).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.passage_report(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_repeated", "n_links", "component_id", "leaders", F.size("spans").alias("n_passages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op3_licences, op4_decontamination, op5_packing, op7_toxicity, op9_language)
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op2_fingerprints,
+        op3_licences,
+        op4_decontamination,
+        op5_packing,
+        op6_ngram_join,
+        op7_toxicity,
+        op8_warc,
+        op9_language,
+        op10_substrings,
+    )
 }
+#: SQL can express none of the methods whole: labels, tables, fits and packings are checked against brute force in tests.
 ORACLES: dict[str, str] = {}
