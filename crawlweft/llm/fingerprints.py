@@ -15,6 +15,8 @@ partition of their document, so that building, subtracting and peeling need no s
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,17 +47,18 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(97))
 
 
+def _keeping(place, at: int):
+    """A step that adds a digest by exclusive or if its place is `at`."""
+    return lambda acc, d: F.when(place(d) == at, acc.bitwiseXOR(d)).otherwise(acc)
+
+
 def printed(values: Column) -> Column:
     """The smallest table of some digests as text: their number and each cell's digests, in hexadecimal."""
     cells = []
-    for subtable in range(SUBTABLES):
-        for cell in range(BASE_CELLS):
-            at = subtable * BASE_CELLS + cell
-
-            def held(acc, d, subtable=subtable, at=at):
-                return F.when(_place(d, subtable, F.lit(BASE_CELLS)) == at, acc.bitwiseXOR(d)).otherwise(acc)
-
-            cells.append(F.lpad(F.hex(F.aggregate(values, F.lit(0).cast("long"), held)), 16, "0"))
+    for at in range(SUBTABLES * BASE_CELLS):
+        place = partial(_place, subtable=at // BASE_CELLS, cells=F.lit(BASE_CELLS))
+        held = F.aggregate(values, F.lit(0).cast("long"), _keeping(place, at))
+        cells.append(F.lpad(F.hex(held), 16, "0"))
     return F.lower(F.concat(F.hex(F.size(values)), F.lit("-"), *cells))
 
 
