@@ -23,6 +23,8 @@ tokens out of the prefixes.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlweft.llm.components import components
-from crawlweft.llm.texts import Spans, as_bytes, map_rows, spaced_words
+from crawlweft.llm.texts import Spans, arrow_limits, as_bytes, map_rows, spaced_words
 from crawlweft.operators.staging import scratch_path, write_stage
 
 WORDS = 5
 THRESHOLD = (80, 100)  # as a fraction, so that it is compared without rounding
 OVERLAP = 3
 SKETCH_BITS = 18
+FILTER_BITS = 25
 #: Odd factors that turn a token's hash into further hash functions; two make a group key.
 _FACTORS = tuple(int(x) | 1 for x in np.random.default_rng(11).integers(1, 1 << 63, 8))
 
@@ -114,33 +117,67 @@ def _sized(a: str, b: str, threshold: tuple[int, int]):
     return low * threshold[1] >= high * threshold[0]
 
 
+def _fetch(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(cls, packed): compressed texts of classes (cls, rep), one each.
+
+    A Bloom filter of fixed size over the wanted texts drops most others where they are
+    read; it may let some pass, which the join drops.
+    """
+    place = lambda tid, k: F.pmod(F.xxhash64(tid, F.lit(k)), F.lit(1 << FILTER_BITS))
+    spots = wanted.select(F.explode(F.array(*(place(F.col("rep.tid"), k) for k in range(3)))).alias("at"))
+    spots = spots.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("bits")).toPandas()
+    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    bits[spots["word"].to_numpy(np.int64)] = spots["bits"].to_numpy(np.int64).view(np.uint64)
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            spots = np.stack([batch.column(k).to_numpy() for k in range(3)])
+            keep = (held.value[spots >> 6] >> (spots & 63).astype(np.uint64) & np.uint64(1)).all(axis=0)
+            if keep.any():
+                batch = batch.filter(pa.array(keep))
+                texts = [pack(x or b"") for x in batch.column(5).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), pa.array(texts, pa.binary())], ["id", "tid", "packed"])
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    source = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("tid"), as_bytes(text))
+    source = source.select(*(place(F.col("tid"), k).alias(f"p{k}") for k in range(3)), "id", "tid", "text")
+    packed = source.mapInArrow(run, f"id {kind}, tid long, packed binary")
+    found = packed.join(wanted, F.col("id").eqNullSafe(F.col("rep.doc_id")) & (F.col("tid") == F.col("rep.tid")))
+    return found.select("cls", "packed").dropDuplicates(["cls"])
+
+
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, threshold: tuple[int, int], folder: str, name: str, split=spaced_words) -> DataFrame:
     """Those pairs (a, b) of classes whose whole sets reach the threshold, as a stage."""
     pairs = write_stage(pairs, f"{name}-pairs", folder)
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes.select("cls", "rep"), "cls")
-    made: list[Spans] = []
+    wanted = write_stage(wanted, f"{name}-wanted", folder)
+    texts = write_stage(_fetch(wanted, docs, doc_id, text), f"{name}-texts", folder)
 
-    def rows(batch):
-        if not made:
-            made.append(Spans())
-        sets = [_tokens(made[0], x, k, split).tobytes() for x in batch["text"].to_pylist()]
-        return {"cls": batch["cls"], "tokens": sets}
+    def linked(batches):
+        import zstandard
 
-    source = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text).cast("string")).alias("_tid"), as_bytes(text))
-    found = source.join(wanted, F.col("_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("_tid") == F.col("rep.tid"))).select("cls", "text")
-    sets = write_stage(map_rows(found, rows, "cls binary, tokens binary").dropDuplicates(["cls"]), f"{name}-sets", folder)
+        unpack, spans = zstandard.ZstdDecompressor().decompress, Spans()
 
-    def linked(batch):
-        out = []
-        for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(threshold[1] * both >= threshold[0] * (len(x) + len(y) - both))
-        return {"a": batch["a"], "b": batch["b"], "linked": out}
+        @lru_cache(maxsize=64)
+        def tokens(packed):
+            return _tokens(spans, unpack(packed), k, split)
+
+        for batch in batches:
+            out = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = tokens(x), tokens(y)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(threshold[1] * both >= threshold[0] * (len(x) + len(y) - both))
+            batch = batch.filter(pa.array(out, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
 
-    sides = pairs.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b").join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a")
-    checked = map_rows(sides.select("a", "b", "x", "y"), linked, "a binary, b binary, linked boolean")
-    return write_stage(checked.filter("linked").select("a", "b"), f"{name}-links", folder)
+    sides = pairs.join(texts.select(F.col("cls").alias("b"), F.col("packed").alias("y")), "b").join(texts.select(F.col("cls").alias("a"), F.col("packed").alias("x")), "a")
+    arrow_limits(docs.sparkSession)
+    return write_stage(sides.select("a", "b", "x", "y").mapInArrow(linked, "a binary, b binary"), f"{name}-links", folder)
 
 
 def jaccard_components(
@@ -180,15 +217,18 @@ def jaccard_components(
     # The token-group matrix, of prefix tokens that lie in several groups.
     sizes = grouped.groupBy("component").agg(F.count("*").alias("size"))
     groups = grouped.join(sizes, "component").select(F.col("node").alias("cls"), "component", "size")
-    entries = classes.join(groups, "cls", "left").select(
+    # Only tokens and hashes go through the two large shuffles; the rest of a class joins what is left.
+    info = classes.join(groups, "cls", "left").select(
         F.xxhash64("cls").alias("q"),
         F.col("n").cast("int").alias("n"),
         F.xxhash64(F.coalesce("component", "cls")).alias("grp"),
         F.coalesce("size", F.lit(1)).cast("int").alias("size"),
-        F.explode("prefix").alias("token"),
+        "prefix",
     )
-    shared = entries.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low <> high").select("token")
-    entries = write_stage(entries.join(shared, "token"), "entries", folder)
+    info = write_stage(info, "info", folder)
+    shared = info.select("grp", F.explode("prefix").alias("token")).groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low <> high").select("token")
+    held = info.select("q", F.explode("prefix").alias("token")).join(shared, "token")
+    entries = write_stage(held.join(info.select("q", "n", "grp", "size").distinct(), "q"), "entries", folder)
     matrix = entries.select("token", F.col("grp").alias("g"), F.col("size").alias("g_size")).distinct()
     # A partner's set has at least threshold * n tokens, so this overlap of prefixes is sure.
     bound = F.greatest(F.lit(1), F.least(F.lit(OVERLAP), F.floor(F.col("n") * threshold[0] ** 2 / threshold[1] ** 2))).cast("int")
