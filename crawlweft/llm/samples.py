@@ -26,7 +26,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, bounds: dict[
     cut = F.lit(0)
     for v, n in counts.items():
         cut = F.when(F.col("_label") == v, min(_STEP, _STEP * bounds[v] // n)).otherwise(cut)
-    chosen = known.filter(F.pmod(F.xxhash64("_id"), F.lit(_STEP)) < cut)
+    # The bounds hold for distinct ids too, so these few rows may go to every task.
+    chosen = F.broadcast(known.filter(F.pmod(F.xxhash64("_id"), F.lit(_STEP)) < cut).distinct())
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text")).join(chosen, "_id").select("_label", "_text").filter(F.col("_text").isNotNull()).distinct()
     out: dict[int, list[str]] = {v: [] for v in bounds}
     for r in rows.toLocalIterator():
