@@ -7,6 +7,7 @@ Results go to Spark's no-op sink, so every row is computed and none is collected
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -48,6 +49,7 @@ def main() -> None:
         .appName("crawlweft-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="crawlweft-bench-"))
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

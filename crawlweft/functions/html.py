@@ -4,7 +4,9 @@ Everything stays in built-in expressions, so a page costs no shuffle.  Inside a
 tag the patterns stop at the next angle bracket, so broken markup stays linear.
 """
 
+import json
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,21 +17,9 @@ BLOCK_ELEMENTS = (
     "h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul"
 )
 
-# Named character references that are decoded (fixed values); `&amp;` goes last.
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&middot;": "·",
-    "&hellip;": "…",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&euro;": "€",
-}
+# Named character references, from the standard library's table of HTML 5.
+NAMED = {f"&{name}": text for name, text in html5.items() if name.endswith(";")}
+REFERENCE = r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
 
 HTML_TYPES = ("text/html", "application/xhtml+xml")
 
@@ -47,32 +37,28 @@ def _or_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def _numeric_references(text: Column) -> Column:
-    """Decode `&#8364;` and `&#x20AC;`; an impossible code point stays as written."""
+def _character(ref: Column) -> Column:
+    """Text of one reference such as `&#8364;`, `&#x20AC;` or `&euro;`; null for an impossible one."""
+    digits = F.regexp_extract(ref, r"^&#[xX]?0*([0-9A-Fa-f]{1,8});$", 1)
+    code = F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "utf-32")
+    # One literal, which the optimizer reads once, instead of thousands of them.
+    named = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")
+    return F.when(ref.startswith("&#"), char).otherwise(F.try_element_at(named, ref))
 
-    def put(acc: Column, ref: Column) -> Column:
-        digits = F.regexp_extract(ref, r"^&#[xX]?([0-9A-Fa-f]+);$", 1)
-        code = F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "utf-32")
-        return F.coalesce(F.replace(acc, ref, char), acc)
+
+def unescape(text: Column) -> Column:
+    """Decode all character references, each once and from left to right; unknown ones stay as written."""
 
     def decode(t: Column) -> Column:
-        refs = F.array_distinct(
-            F.regexp_extract_all(t, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0))
-        )
-        return F.when(t.contains("&#"), F.aggregate(refs, t, put)).otherwise(t)
+        refs = F.transform(F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0)), lambda r: F.coalesce(_character(r), r))
+        whole = F.array_join(F.zip_with(F.split(t, REFERENCE, -1), refs, lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
+        return F.when(t.rlike(REFERENCE), whole).otherwise(t)
 
     return _let(text, decode)
 
 
-def unescape(text: Column) -> Column:
-    out = text
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.replace(_numeric_references(out), F.lit("&amp;"), F.lit("&"))
-
-
 def strip_hidden(html: Column) -> Column:
     """Drop comments and what is never shown: scripts, styles, templates.
 
@@ -127,12 +113,12 @@ def meta_tags(html: Column) -> Column:
 
 
 def meta(tags: Column, *names: str) -> Column:
-    """Content of the first tag in `meta_tags` text whose name is among `names`."""
+    """Content of the first tag in `meta_tags` text whose name is among `names`, as written (see `unescape`)."""
     key = rf"""(?:name|property)\s*=\s*["']?(?:{'|'.join(n.replace('.', '[.]') for n in names)})["'\s/>]"""
     value = r"""content\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     tag = F.regexp_extract(tags, rf"(?i)<meta\s(?:[^<>]*\s)?{key}[^<>]*>?|<meta\s[^<>]*\s{key}[^<>]*>?", 0)
     quoted = F.regexp_extract(tag, rf"(?i)\s{value}", 1)
-    return F.when(tags != "", _or_null(unescape(F.regexp_replace(quoted, r"""^["']|["']$""", ""))))
+    return F.when(tags != "", _or_null(F.regexp_replace(quoted, r"""^["']|["']$""", "")))
 
 
 _URL_PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/?#]*))?([^?#]*)(\?[^#]*)?"

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{M}\p{N}]+"
 LETTERS = r"\p{L}+"
+# Scripts written without blanks: each character is a word of its own.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]\p{M}*"
 
 # Terms the address analyzer drops (fixed values).
 URL_STOP = ("http", "https", "www")
 
 
 def words(text: Column) -> Column:
-    """Standard words, lower-cased."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    """Standard words, lower-cased; single characters of scripts without blanks."""
+    spaced = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+    return F.regexp_extract_all(F.lower(spaced), F.lit(WORD), F.lit(0))
 
 
 def _numbered(terms: Column) -> Column:

@@ -60,29 +60,25 @@ def extract(pages: DataFrame) -> DataFrame:
     def meta(*names: str) -> Column:
         return html.meta(F.col("_tags"), *names)
 
+    # Decoded together, in one expression.
+    fields = (
+        meta("author"),
+        meta("dc.creator", "dcterms.creator"),
+        meta("dc.contributor", "dcterms.contributor"),
+        meta("last-author", "dcterms.modifier"),
+        meta("comments"),
+        meta("description", "og:description"),
+        meta("dc.source", "source"),
+        meta("keywords"),
+    )
+    out = out.withColumn("_fields", F.when(ok, F.transform(F.array(*fields), html.unescape)))
     out = out.withColumns(
         {
             "charset": F.coalesce(html.html_charset(F.col("_page")), F.col("header_charset")),
             "title": html.title(F.col("_page")),
             "html_language": F.lower(html.html_language(F.col("_page"))),
-            "authors": F.when(
-                ok,
-                F.array(
-                    meta("author"),
-                    meta("dc.creator", "dcterms.creator"),
-                    meta("dc.contributor", "dcterms.contributor"),
-                    meta("last-author", "dcterms.modifier"),
-                ),
-            ),
-            "misc": F.when(
-                ok,
-                F.array(
-                    meta("comments"),
-                    meta("description", "og:description"),
-                    meta("dc.source", "source"),
-                    meta("keywords"),
-                ),
-            ),
+            "authors": F.slice("_fields", 1, 4),
+            "misc": F.slice("_fields", 5, 4),
             "meta_created": dates.text_date(
                 meta("dcterms.created", "creation-date", "article:published_time"), F.col("fetched_at")
             ),
@@ -113,4 +109,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 ),
             ).otherwise(headers.declared_size(F.col("content_length"))),
         }
-    ).drop("content", "_html", "_page", "_visible", "_tags", "page_links", "n_bytes", "content_key")
+    ).drop("content", "_html", "_page", "_visible", "_tags", "_fields", "page_links", "n_bytes", "content_key")

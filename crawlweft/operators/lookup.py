@@ -38,29 +38,20 @@ def all_terms(token_rows: DataFrame, field: str, terms: list[str], key: str = "i
     )
 
 
-def phrase(token_rows: DataFrame, field: str, terms: list[str], key: str = "id") -> DataFrame:
+def phrase(token_rows: DataFrame, field: str, terms: list[str], *key: str) -> DataFrame:
     """(key, position): every place where the terms stand next to each other in order.
 
     Each token votes for the start it would belong to; a start with a vote for
-    every offset is a match.  One shuffle by (key, start), no self join.
+    every offset is a match.
+    One shuffle by (key, start), no self join.  `key` is `id` and `part` by default, so
+    that no phrase runs from one part of a document into another.
     """
-    if len(terms) > 62:
-        raise ValueError("a phrase has at most 62 terms")
-    offsets = F.array(
-        *[
-            F.struct(F.lit(i).alias("at"), F.lit(t).alias("word"), F.lit(1 << i).cast("bigint").alias("bit"))
-            for i, t in enumerate(terms)
-        ]
-    )
+    key = key or ("id", "part")
+    offsets = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(t).alias("word")) for i, t in enumerate(terms)])
     votes = (
         token_rows.filter((F.col("field") == field) & F.col("term").isin(sorted(set(terms))))
-        .select(key, "term", "position", F.explode(offsets).alias("o"))
+        .select(*key, "term", "position", F.explode(offsets).alias("o"))
         .filter(F.col("term") == F.col("o.word"))
-        .select(key, (F.col("position") - F.col("o.at")).alias("position"), "o.bit")
-    )
-    return (
-        votes.groupBy(key, "position")
-        .agg(F.bit_or("bit").alias("seen"))
-        .filter(F.col("seen") == F.lit((1 << len(terms)) - 1))
-        .select(key, "position")
+        .select(*key, (F.col("position") - F.col("o.at")).alias("position"), "o.at")
     )
+    return votes.groupBy(*key, "position").agg(F.size(F.collect_set("at")).alias("n")).filter(F.col("n") == len(terms)).select(*key, "position")

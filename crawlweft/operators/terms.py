@@ -1,5 +1,7 @@
 """Token tables, term vectors and postings."""
 
+import re
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +52,12 @@ STOP_WORD_LANGUAGES = (
 
 
 def default_stop_words(spark: SparkSession) -> DataFrame:
-    """(analyzer, term) from the lists that ship with Spark: some 3,000 fixed rows."""
-    rows = {(a, w.lower()) for a in STOP_WORD_LANGUAGES for w in StopWordsRemover.loadDefaultStopWords(a)}
+    """(analyzer, term) from the lists that ship with Spark: some 3,000 fixed rows.
+
+    Words are cut at apostrophes, as texts are.
+    """
+    lists = {a: a for a in STOP_WORD_LANGUAGES} | {"brazilian": "portuguese"}
+    rows = {(a, part) for a, name in lists.items() for w in StopWordsRemover.loadDefaultStopWords(name) for part in re.split("['’]", w.lower()) if part}
     return fixed_table(spark, sorted(rows), "analyzer", "term")
 
 
@@ -88,16 +94,21 @@ VALUE_GAP = 100
 def _field_tokens(column: Column, is_list: bool, analyzer: str) -> Column:
     if not is_list:
         return tokens.ANALYZERS[analyzer](column)
-    shifted = F.transform(
-        F.array_compact(column),
-        lambda v, i: F.transform(
-            tokens.ANALYZERS[analyzer](v),
-            lambda t: F.struct(
-                t["term"].alias("term"), (t["position"] + i * VALUE_GAP).cast("int").alias("position")
-            ),
-        ),
-    )
-    return F.flatten(shifted)
+    token = "struct<term:string,position:int>"
+    values = F.transform(F.array_compact(column), lambda v: tokens.ANALYZERS[analyzer](v).cast(f"array<{token}>"))
+
+    def append(acc: Column, value: Column) -> Column:
+        start = acc["next"]
+        moved = F.transform(
+            value, lambda t: F.struct(t["term"].alias("term"), (t["position"] + start).cast("int").alias("position"))
+        )
+        last = F.coalesce(F.array_max(F.transform(value, lambda t: t["position"])), F.lit(-1))
+        return F.struct(
+            (start + last + 1 + VALUE_GAP).cast("int").alias("next"), F.concat(acc["tokens"], moved).alias("tokens")
+        )
+
+    start = F.struct(F.lit(0).alias("next"), F.array().cast(f"array<{token}>").alias("tokens"))
+    return F.aggregate(values, start, append, lambda acc: acc["tokens"])
 
 
 def index_tokens(documents: DataFrame, stop_words: DataFrame, key: str = "id") -> DataFrame:
@@ -155,13 +166,15 @@ def term_vectors(documents: DataFrame, key: str, field: str, column: str) -> Dat
     )
 
 
-def postings(token_rows: DataFrame, key: str = "id") -> DataFrame:
-    """(field, term, key, tf, positions): positions of a term within one document.
+def postings(token_rows: DataFrame, *key: str) -> DataFrame:
+    """(key, field, term, tf, positions): positions of a term within one document.
+
+    `key` is `id` and `part` by default, as positions of different parts are unrelated.
 
     Tokens of a table partitioned by key (`repartition(key)` before tokenizing)
     are grouped without another shuffle.
     """
-    return token_rows.groupBy(key, "field", "term").agg(
+    return token_rows.groupBy(*(key or ("id", "part")), "field", "term").agg(
         F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("position")).alias("positions")
     )
 

@@ -3,7 +3,7 @@
 Written for DuckDB over the raw tables, apart from the Spark code it checks.
 """
 
-from crawlweft.functions.html import BLOCK_ELEMENTS, ENTITIES
+from crawlweft.functions.html import BLOCK_ELEMENTS, NAMED
 from crawlweft.operators.default_rules import SECTIONS
 from crawlweft.operators.language import ANALYZER_OF
 from crawlweft.operators.media_types import COMMON, INDEXABLE, NON_INDEXABLE
@@ -150,11 +150,19 @@ def rolled(typed_name: str) -> str:
   GROUP BY fingerprint HAVING count(*) FILTER (rl = 1) > 0"""
 
 
+_REFERENCE = "'&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);'"
+_NAMES = ", ".join(quote(name) for name in NAMED)
+_TEXTS = ", ".join(quote(text) for text in NAMED.values())
+
+
 def unescape(column: str) -> str:
-    out = column
-    for name, char in [*ENTITIES.items(), ("&amp;", "&")]:
-        out = f"replace({out}, {quote(name)}, {quote(char)})"
-    return out
+    code = """try_cast(CASE WHEN r LIKE '&#x%' OR r LIKE '&#X%' THEN '0x' || regexp_extract(r, '^&#[xX]0*([0-9A-Fa-f]{1,8});$', 1)
+      ELSE regexp_extract(r, '^&#0*([0-9]{1,8});$', 1) END AS BIGINT)"""
+    char = f"CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr(CAST({code} AS INTEGER)) END"
+    named = f"list_extract([{_TEXTS}], list_position([{_NAMES}], r))"
+    refs = f"list_transform(regexp_extract_all({column}, {_REFERENCE}), lambda r: coalesce(CASE WHEN r LIKE '&#%' THEN {char} ELSE {named} END, r))"
+    pieces = f"regexp_split_to_array({column}, {_REFERENCE})"
+    return f"array_to_string(list_transform(list_zip({pieces}, {refs}), lambda z: z[1] || coalesce(z[2], '')), '')"
 
 
 def trim(column: str) -> str:
@@ -181,7 +189,7 @@ TITLE = "nullif(" + trim(
     + unescape(r"regexp_extract(html, '(?is)<title(?:\s[^<>]*)?>(.*?)</title\s*>', 1)")
     + r", '\s+', ' ', 'g')"
 ) + ", '')"
-EMAIL = r"'[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}'"
+EMAIL = r"'[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}'"
 WORD = r"'[\p{L}\p{M}\p{N}]+'"
 LETTERS = r"'\p{L}+'"
 

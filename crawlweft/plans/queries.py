@@ -17,7 +17,7 @@ from crawlweft.schemas import ATTRIBUTE_COLUMNS, CRAWL_RECORD
 from crawlweft.sinks import index
 from crawlweft.sources import bodies as body_source
 from crawlweft.sources import records as record_source
-from crawlweft.sources.lists import fixed_table, read_profiles
+from crawlweft.sources.lists import fixed_table, read_profiles, read_rule_list
 from crawlweft.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,6 +209,19 @@ def media_type_decision(spark, sf_dir):
     )
 
 
+@query(f"{_TYPED} SELECT item_name, media_type, decision FROM t")
+def rule_file_decision(spark, sf_dir):
+    """All records decided by rules that were written as a rule file and read back."""
+    path = scratch_path(spark, "rules")
+    lines = [x for name, values in SECTIONS.items() for x in (f"[{name}]", "<> fixed rules", *values, "")]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    table = read_rule_list(spark, path)
+    known = table.filter(F.col("section") == media_types.COMMON).select("value")
+    records = record_source.typed(d.document_records(spark, sf_dir))
+    decided = media_types.decide(records, media_types.close_over_known_types(table, known))
+    return decided.select("item_name", F.col("header_media_type").alias("media_type"), "decision")
+
+
 @query(f"{_TYPED} SELECT media_type, coalesce(media_type IN {o.COMMON_LIST}, false) AS is_common_type, count(*) AS n FROM t GROUP BY ALL")
 def common_type(spark, sf_dir):
     types = record_source.typed(d.document_records(spark, sf_dir)).groupBy(F.col("header_media_type").alias("media_type")).agg(
@@ -355,9 +368,17 @@ def date_lists(spark, sf_dir):
 # --- content ----------------------------------------------------------------
 
 
-@query(f"SELECT page_id, body, CAST(length(body) AS INTEGER) AS text_length FROM (SELECT page_id, {o.html_text('html')} AS body FROM pages)")
+_REFERENCES = "'<p>&uuml;ber caf&eacute; &rsquo;s &#0000000228;&#xE4; &#38;amp; &amp;lt; &bogus; &#55296; &NotEqualTilde; n&ordm;&nbsp;'"
+
+
+@query(
+    f"""SELECT page_id, body, CAST(length(body) AS INTEGER) AS text_length FROM (SELECT page_id, {o.html_text('html')} AS body
+    FROM (SELECT page_id, html || {_REFERENCES} || page_id || '</p>' AS html FROM pages))"""
+)
 def page_text(spark, sf_dir):
-    pages = d.html_pages(spark, sf_dir).select("page_id", html.html_text(F.col("html")).alias("body"))
+    """Text of all pages, each with a line of character references behind it."""
+    more = F.concat("html", F.expr(_REFERENCES), F.col("page_id").cast("string"), F.lit("</p>"))
+    pages = d.html_pages(spark, sf_dir).select("page_id", html.html_text(more).alias("body"))
     return pages.select("page_id", "body", F.length("body").alias("text_length"))
 
 
@@ -430,15 +451,22 @@ def out_links_text(spark, sf_dir):
     return docs.select("doc_id", F.explode(textscan.text_links(text)).alias("link"))
 
 
+_MORE_EMAILS = (
+    "(' ' || repeat('long.name', CAST(1 + doc_id % 40 AS INT)) || '@host.example ' || 'n' || doc_id || '@' || repeat('sub.', CAST(1 + doc_id % 30 AS INT))"
+    " || 'example.com, a@b.comx_y@' || repeat('q', CAST(1 + doc_id % 90 AS INT)) || '.museums')"
+)
+
+
 @query(
     f"""SELECT DISTINCT k, email FROM (
-      SELECT 'd' || doc_id AS k, unnest(regexp_extract_all(text, {o.EMAIL})) AS email FROM documents
+      SELECT 'd' || doc_id AS k, unnest(regexp_extract_all(text || {_MORE_EMAILS}, {o.EMAIL})) AS email FROM documents
       UNION ALL SELECT 'p' || page_id, unnest(regexp_extract_all(html, {o.EMAIL})) FROM pages
       UNION ALL SELECT 'p' || page_id, unnest(regexp_extract_all({o.html_text('html')}, {o.EMAIL})) FROM pages)"""
 )
 def emails(spark, sf_dir):
-    """Addresses in documents, and in pages before and after text extraction."""
-    docs = d.texts(spark, sf_dir).select(F.concat(F.lit("d"), "doc_id").alias("k"), F.explode(textscan.emails(F.col("text"))).alias("email"))
+    """Addresses in documents and behind them (long, with many labels), and in pages before and after text extraction."""
+    text = F.concat("text", F.expr(_MORE_EMAILS))
+    docs = d.texts(spark, sf_dir).select(F.concat(F.lit("d"), "doc_id").alias("k"), F.explode(textscan.emails(text)).alias("email"))
     pages = d.html_pages(spark, sf_dir).select(
         F.concat(F.lit("p"), "page_id").alias("k"),
         F.explode(textscan.emails(F.col("html"), html.html_text(F.col("html")))).alias("email"),
@@ -568,6 +596,17 @@ def tokens_standard(spark, sf_dir):
     return _by_term(terms.tokenize(d.texts(spark, sf_dir), "doc_id", "misc", "text", "standard"), "doc_id")
 
 
+_UNSPACED = "text || ' 東京都は' || lang || 'カナの首都 สวัสดี' || CAST(doc_id AS STRING)"
+_SPACED = r"regexp_replace(" + _UNSPACED + r", '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]\p{M}*)', ' \1 ', 'g')"
+
+
+@query(_by_term_sql(f"(SELECT doc_id, {_SPACED} AS spaced FROM documents)", "doc_id", o.numbered(o.words("spaced"))))
+def tokens_unspaced(spark, sf_dir):
+    """Whole texts with words of scripts without blanks behind them."""
+    docs = d.texts(spark, sf_dir, "text", "lang").select("doc_id", F.expr(_UNSPACED).alias("text"))
+    return _by_term(terms.tokenize(docs, "doc_id", "body", "text", "standard"), "doc_id")
+
+
 # A short stop list that both engines can hold.
 STOP_WORDS = [
     (analyzer, word)
@@ -694,8 +733,9 @@ def match_all_terms(spark, sf_dir):
 
 
 @query(
-    f"""WITH b AS {_BODY_TOKENS} SELECT x.doc_id, CAST(x."position" AS INTEGER) AS "position" FROM b x JOIN b y
-      ON x.doc_id = y.doc_id AND y."position" = x."position" + 1 WHERE x.term = 'of' AND y.term = 'the'"""
+    f"""SELECT doc_id, CAST(i - 1 AS INTEGER) AS "position" FROM (
+      SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM (SELECT doc_id, {o.words('text')} AS ws FROM documents))
+    WHERE ws[i] = 'of' AND ws[i + 1] = 'the'"""
 )
 def phrase_match(spark, sf_dir):
     rows = terms.tokenize(d.texts(spark, sf_dir), "doc_id", "body", "text", "standard")
@@ -735,24 +775,43 @@ def bodied_union_bodyless(spark, sf_dir):
     return full.select("item_name", F.lit("full").alias("path"), "has_body").unionByName(bare)
 
 
-@query("SELECT source AS host, doc_id, md5(replace(text, chr(10), ' ')) AS digest FROM documents")
+_LATIN = r"\A[\x00-\x7F\xA0-\xFF]*\z"
+
+
+@query(
+    """SELECT 'd' || doc_id AS k, md5(text) AS digest FROM documents
+    UNION ALL SELECT 'p' || page_id, md5(CASE WHEN page_id % 2 = 0 AND regexp_full_match(html, '[\\x00-\\x7F\\x{A0}-\\x{FF}]*', 's')
+      THEN replace(html, 'charset="utf-8"', 'charset="iso-8859-1"') ELSE html END) FROM pages"""
+)
 def gzip_bodies(spark, sf_dir):
-    """Texts written as gzip files per host, then read back one file per body."""
+    """All texts and pages as one gzip file each, in three charsets, read back by the charset that each names.
+
+    Texts name theirs in the header; pages name their own and have a wrong header.
+    """
     path = scratch_path(spark, "gzip")
-    docs = d.texts(spark, sf_dir, "text", "source")
-    line = F.concat_ws("\t", F.col("doc_id").cast("string"), F.translate("text", "\n", " "))
-    docs.select(F.col("source").alias("host"), line.alias("value")).write.partitionBy("host").option(
-        "compression", "gzip"
-    ).text(path)
-    files = body_source.read_gzip_bodies(spark, path)
-    lines = files.select(
-        F.regexp_extract("content_key", "^host=([^/]+)/", 1).alias("host"), F.explode(F.split("content", "\n")).alias("line")
-    ).filter("line <> ''")
-    return lines.select(
-        "host",
-        F.substring_index("line", "\t", 1).cast("bigint").alias("doc_id"),
-        F.md5(F.regexp_replace("line", r"^\d+\t", "")).alias("digest"),
+    latin = F.col("text").rlike(_LATIN)
+    docs = d.texts(spark, sf_dir).select(
+        F.concat(F.lit("d"), "doc_id").alias("k"),
+        "text",
+        F.when(latin & (F.col("doc_id") % 3 == 1), "ISO-8859-1").when(latin & (F.col("doc_id") % 3 == 2), "windows-1252").alias("header_charset"),
+    ).withColumn("charset", F.col("header_charset"))
+    pages = d.html_pages(spark, sf_dir).withColumnRenamed("html", "text").withColumn("charset", F.when(latin & (F.col("page_id") % 2 == 0), "ISO-8859-1"))
+    pages = pages.select(
+        F.concat(F.lit("p"), "page_id").alias("k"),
+        F.when(F.col("charset").isNull(), F.col("text")).otherwise(F.replace("text", F.lit('charset="utf-8"'), F.lit('charset="iso-8859-1"'))).alias("text"),
+        F.lit("utf-16").alias("header_charset"),
+        "charset",
+    )
+    # Characters of Latin-1 have the same bytes in windows-1252.
+    encoded = F.when(F.col("charset").isNull(), F.col("text").cast("binary")).otherwise(F.encode("text", "ISO-8859-1"))
+    stored = docs.unionByName(pages)
+    stored.select("k", encoded.cast("string").alias("value")).write.partitionBy("k").option("compression", "gzip").text(path)
+    files = body_source.read_gzip_bodies(spark, path).select(
+        F.regexp_extract("content_key", "^k=([^/]+)/", 1).alias("k"),
+        F.expr("substring(bytes, 1, octet_length(bytes) - 1)").alias("bytes"),  # without the writer's line end
     )
+    read = files.join(stored.select("k", "header_charset"), "k")
+    return read.select("k", F.md5(body_source.body_text(F.col("bytes"), F.col("header_charset"))).alias("digest"))
 
 
 @query(

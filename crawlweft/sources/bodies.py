@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweft.functions.charsets import decode
+from crawlweft.functions.html import html_charset
 from crawlweft.operators.staging import is_small
 
 
@@ -19,15 +20,16 @@ def _key_from_path(path: str) -> Column:
 
 
 def read_gzip_bodies(spark: SparkSession, path: str) -> DataFrame:
-    """One row per gzip text file below `path`: (content_key, content).
+    """One row per gzip file below `path`: (content_key, bytes).
 
-    The text source unpacks `.gz` itself.  Files are packed into tasks by size,
-    so many small objects do not become many small tasks.
+    The text source unpacks `.gz` itself and keeps the bytes as they are, whatever
+    their charset.  Files are packed into tasks by size, so many small objects do not
+    become many small tasks.
     """
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text(path, wholetext=True)
-        .select(_key_from_path(path).alias("content_key"), F.col("value").alias("content"))
+        .select(_key_from_path(path).alias("content_key"), F.col("value").cast("binary").alias("bytes"))
     )
 
 
@@ -41,12 +43,24 @@ def read_binary_bodies(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def declared_charset(content: Column) -> Column:
+    """Charset that a body names itself: by a byte-order mark, else in a `<meta>` tag; null without either."""
+    mark = F.hex(F.substring(content, 1, 3))
+    by_mark = F.when(mark == "EFBBBF", "utf-8").when(mark.startswith("FFFE") | mark.startswith("FEFF"), "utf-16")
+    return F.coalesce(by_mark, html_charset(F.decode(content, "ISO-8859-1")))
+
+
+def body_text(content: Column, header_charset: Column) -> Column:
+    """Text of a body in the charset it names itself, else its header's, else UTF-8."""
+    return decode(content, F.coalesce(declared_charset(content), header_charset))
+
+
 def attach_bodies(pages: DataFrame, bodies: DataFrame) -> DataFrame:
     """Left join on the body key: adds `content`, `n_bytes` and `has_body`.
 
     `bodies` is (content_key, content), or (content_key, bytes) for bodies that
-    are decoded in the charset of their page's header.  Keys are unique on the
-    body side.  When the pages are few, as in an incremental run, their keys are
+    are decoded in the charset they name themselves, else in their page's header's.
+    Keys are unique on the body side.  When the pages are few, as in an incremental run, their keys are
     broadcast to the scan of the bodies, so that other bodies are never shuffled.
     """
     keyed = pages.withColumn("content_key", content_key(F.col("item_name")))
@@ -58,7 +72,7 @@ def attach_bodies(pages: DataFrame, bodies: DataFrame) -> DataFrame:
     )
     if "bytes" in bodies.columns:
         out = out.withColumns(
-            {"content": decode(F.col("bytes"), F.col("header_charset")), "n_bytes": F.octet_length("bytes")}
+            {"content": body_text(F.col("bytes"), F.col("header_charset")), "n_bytes": F.octet_length("bytes")}
         ).drop("bytes")
     else:
         out = out.withColumn("n_bytes", F.octet_length("content"))

@@ -235,7 +235,7 @@ def test_term_vectors_against_brute_force(spark):
 def test_postings_and_dictionary(spark):
     docs = spark.createDataFrame(TOKEN_TEXTS, "id long, text string")
     tokens = terms.tokenize(docs.repartition(3, "id"), "id", "body", "text", "standard")
-    posted = terms.postings(tokens)
+    posted = terms.postings(tokens, "id")
     assert posted._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # the repartition itself
     got = {(r["id"], r["term"]): (r["tf"], r["positions"]) for r in posted.collect()}
     assert got[1, "rain"] == (2, [1, 3]) and got[2, "rain"] == (2, [0, 2]) and got[4, "42"] == (1, [2])
@@ -277,10 +277,10 @@ def test_lookups(spark):
     tokens = terms.tokenize(docs, "id", "body", "text", "standard")
     found = lambda df: sorted(map(tuple, df.collect()))
     assert found(lookup.all_terms(tokens, "body", ["rain", "the"])) == [(1, 4), (2, 3)]
-    assert found(lookup.all_terms(tokens, "title", ["rain"])) == []
-    assert found(lookup.phrase(tokens, "body", ["the", "rain"])) == [(1, 0), (1, 2), (2, 1)]
-    assert found(lookup.phrase(tokens, "body", ["a", "b", "a"])) == [(5, 0), (5, 2)]
-    assert found(lookup.phrase(tokens, "body", ["a", "a"])) == [(6, 1)]
+    assert found(lookup.all_terms(tokens, "title", ["rain"], "id")) == []
+    assert found(lookup.phrase(tokens, "body", ["the", "rain"], "id")) == [(1, 0), (1, 2), (2, 1)]
+    assert found(lookup.phrase(tokens, "body", ["a", "b", "a"], "id")) == [(5, 0), (5, 2)]
+    assert found(lookup.phrase(tokens, "body", ["a", "a"], "id")) == [(6, 1)]
 
 
 def test_broadcast_only_after_counting(spark):

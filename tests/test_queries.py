@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from crawlweft.plans.queries import ORACLES, QUERIES
 
 SMALL = entry.SMALL
 
@@ -22,13 +23,14 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    got = check.normal(entry.queries()[name](spark, SMALL).toPandas())
-    want = check.normal(con.execute(entry.oracle_sql()[name]).df())
+    got = check.normal(QUERIES[name](spark, SMALL).toPandas())
+    want = check.normal(con.execute(ORACLES[name]).df())
     assert list(got.columns) == list(want.columns)
     assert got.equals(want)
     assert len(got) > 0
