@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlweft.llm.components import components
+from crawlweft.llm.fetch import key_filter, packed_texts
 from crawlweft.llm.texts import Spans, arrow_limits, as_bytes, map_rows, spaced_words
 from crawlweft.operators.staging import scratch_path, write_stage
 
@@ -39,7 +40,6 @@ WORDS = 5
 THRESHOLD = (80, 100)  # as a fraction, so that it is compared without rounding
 OVERLAP = 3
 SKETCH_BITS = 18
-FILTER_BITS = 25
 #: Odd factors that turn a token's hash into further hash functions; two make a group key.
 _FACTORS = tuple(int(x) | 1 for x in np.random.default_rng(11).integers(1, 1 << 63, 8))
 
@@ -118,34 +118,9 @@ def _sized(a: str, b: str, threshold: tuple[int, int]):
 
 
 def _fetch(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(cls, packed): compressed texts of classes (cls, rep), one each.
-
-    A Bloom filter of fixed size over the wanted texts drops most others where they are
-    read; it may let some pass, which the join drops.
-    """
-    place = lambda tid, k: F.pmod(F.xxhash64(tid, F.lit(k)), F.lit(1 << FILTER_BITS))
-    spots = wanted.select(F.explode(F.array(*(place(F.col("rep.tid"), k) for k in range(3)))).alias("at"))
-    spots = spots.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("bits")).toPandas()
-    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
-    bits[spots["word"].to_numpy(np.int64)] = spots["bits"].to_numpy(np.int64).view(np.uint64)
-    held = docs.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches):
-        import zstandard
-
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            spots = np.stack([batch.column(k).to_numpy() for k in range(3)])
-            keep = (held.value[spots >> 6] >> (spots & 63).astype(np.uint64) & np.uint64(1)).all(axis=0)
-            if keep.any():
-                batch = batch.filter(pa.array(keep))
-                texts = [pack(x or b"") for x in batch.column(5).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), pa.array(texts, pa.binary())], ["id", "tid", "packed"])
-
-    kind = docs.schema[doc_id].dataType.simpleString()
-    source = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("tid"), as_bytes(text))
-    source = source.select(*(place(F.col("tid"), k).alias(f"p{k}") for k in range(3)), "id", "tid", "text")
-    packed = source.mapInArrow(run, f"id {kind}, tid long, packed binary")
+    """(cls, packed): compressed texts of classes (cls, rep), one each."""
+    source = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("tid"), as_bytes(text, "packed"))
+    packed = packed_texts(source, "tid", key_filter(wanted.select("rep.tid")))
     found = packed.join(wanted, F.col("id").eqNullSafe(F.col("rep.doc_id")) & (F.col("tid") == F.col("rep.tid")))
     return found.select("cls", "packed").dropDuplicates(["cls"])
 
