@@ -30,6 +30,8 @@ BASE_CELLS = 4  # cells of a subtable in the printed fingerprint
 GROWTH = 4
 #: Bits of an id that are resolved at each level of the search for the next id.
 LEVELS = (10, 18, 18)
+#: Characters of text in a partition: the cells of its documents' tables must fit a task's memory.
+PARTITION_CHARS = 8_000_000
 
 
 def digests(text: Column) -> Column:
@@ -135,11 +137,14 @@ def _likeness(size_one: Column, size_two: Column, only_one: Column) -> Column:
 
 def _attempt(docs: DataFrame, order: DataFrame, attempt: int) -> DataFrame:
     """Fingerprints and likenesses of the documents in `order`, with `left` > 0 where a table did not peel."""
+    chars = order.agg(F.sum("n_chars")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // PARTITION_CHARS))
+    docs, order = docs.repartition(parts, "id"), order.repartition(parts, "id")
     # Each document's head and digests go to the document that it follows.
-    follower = order.select(F.col("next").alias("id"), F.col("id").alias("doc_id"), "n_chars")
+    follower = order.select(F.col("next").alias("id"), F.col("id").alias("doc_id"), "n_chars").repartition(parts, "id")
     heads = docs.join(follower, "id").select("doc_id", F.substring(F.col("text"), F.lit(1), F.floor(F.col("n_chars") / 3).cast("int")).alias("head"), digests(F.col("text")).alias("following"))
     own = docs.join(order.select("id", "n_chars"), "id").select(F.col("id").alias("doc_id"), "text", "n_chars")
-    joined = own.join(heads, "doc_id")
+    joined = own.join(heads.repartition(parts, "doc_id"), "doc_id")
     keep = (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")
     texts = joined.select("doc_id", "n_chars", "text", F.concat(F.substring(F.col("text"), F.lit(1), keep), "head").alias("edited"), "following")
     sets = texts.select("doc_id", digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("changed"), "following")
