@@ -14,7 +14,7 @@ ZONES = {
 
 _CLOCK = r"\d{1,2}:\d{2}(?::\d{2})?"
 _ZONE = rf"(?: ?(?:{'|'.join(sorted(ZONES, key=len, reverse=True))}|Z|[+-]\d{{2}}:?\d{{2}})(?![0-9A-Za-z]))?"
-_MONTH = r"[A-Za-z]{3,9}"
+_MONTH = r"(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]{0,6}"
 RFC1123 = rf"\d{{1,2}} {_MONTH}\.?,? \d{{4}}(?:,? {_CLOCK}{_ZONE})?"
 RFC850 = rf"\d{{1,2}}-[A-Za-z]{{3}}-\d{{2}} {_CLOCK}{_ZONE}"
 ASCTIME = rf"[A-Za-z]{{3}} {{1,2}}\d{{1,2}} {_CLOCK}{_ZONE} \d{{4}}"
@@ -77,7 +77,7 @@ def text_date(text: Column, seen_at: Column) -> Column:
         bare = F.when(zone != "", F.regexp_replace(t, _NAMED_ZONE, "$1$3")).otherwise(t)
         clock = F.regexp_replace(bare, r"(?<![:\d])(\d{1,2}:\d{2})(?![:\d])", "$1:00")
         micros = _let(clock, lambda p: F.unix_micros(local(p)))
-        return F.timestamp_micros(micros - _offset(zone) * 1_000_000)
+        return F.timestamp_micros(micros - _offset(zone).cast("long") * 1_000_000)
 
     def local(p: Column) -> Column:
         short_year = _parse(p, "d-MMM-yy H:mm:ss")

@@ -16,10 +16,14 @@ UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]\p{M}*"
 URL_STOP = ("http", "https", "www")
 
 
+def runs(text: Column) -> Column:
+    """Runs of letters and digits, lower-cased."""
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """Standard words, lower-cased; single characters of scripts without blanks."""
-    spaced = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
-    return F.regexp_extract_all(F.lower(spaced), F.lit(WORD), F.lit(0))
+    return runs(F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text))
 
 
 def _numbered(terms: Column) -> Column:

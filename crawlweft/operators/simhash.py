@@ -30,7 +30,7 @@ def md5_hash(word: Column) -> Column:
 def character_pairs(text: Column) -> Column:
     return F.flatten(
         F.transform(
-            tokens.words(text),
+            tokens.runs(text),
             lambda w: F.when(
                 F.length(w) > 1,
                 F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2))),
@@ -43,7 +43,7 @@ def similarity_hash(
     documents: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    features: Callable[[Column], Column] = tokens.words,
+    features: Callable[[Column], Column] = tokens.runs,
     word_hash: Callable[[Column], Column] = fast_hash,
 ) -> DataFrame:
     """(key, similarity_hash_digest); texts without words are absent.
@@ -81,7 +81,7 @@ def similarity_hash_by_language(
     and the language picks one, so whole texts are never shuffled to meet their
     language.
     """
-    by_word = similarity_hash(documents, key, text, tokens.words, word_hash)
+    by_word = similarity_hash(documents, key, text, tokens.runs, word_hash)
     unspaced = documents.filter(F.col(text).rlike(UNSPACED_SCRIPT))
     by_pair = similarity_hash(unspaced, key, text, character_pairs, word_hash).withColumnRenamed(
         "similarity_hash_digest", "_pairs"

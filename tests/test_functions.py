@@ -94,6 +94,17 @@ def test_epoch(value):
         ("1994-11-15T08:12:31+02:00", "1994-11-15T06:12:31"),
         ("15 Nov 1994 08:12:31 +0100", "1994-11-15T07:12:31"),
         ("made 1994-11-15, changed 2001-01-02", "2001-01-02T00:00:00"),
+        ("2013-04-17T12:34Z", "2013-04-17T12:34:00"),
+        ("2013-04-17T12:34+02:00", "2013-04-17T10:34:00"),
+        ("2013-04-17 12:34:56.5", "2013-04-17T12:34:56"),
+        ("Wed, 17 Apr 2013 12:00:00 EST", "2013-04-17T17:00:00"),
+        ("Wed, 17 Apr 2013 12:00 GMT", "2013-04-17T12:00:00"),
+        ("17 April 2013", "2013-04-17T00:00:00"),
+        ("April 17, 2013 9:05 CEST", "2013-04-17T07:05:00"),
+        ("on May 5, 2013.", "2013-05-05T00:00:00"),
+        ("04/17/2013", "2013-04-17T00:00:00"),
+        ("4/7/2013 08:30", "2013-04-07T08:30:00"),
+        ("Tue Nov 15 08:12:31 EST 1994", "1994-11-15T13:12:31"),
         ("2001-13-02", None),
         ("junk", None),
         ("", None),
@@ -105,6 +116,31 @@ def test_text_date(value, text, expected):
     assert value(dates.iso(dates.text_date(X, seen)), x=text) == expected
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("&uuml;ber &eacute;&rsquo;", "über é’"),
+        ("&#38;amp; &amp;lt;", "&amp; &lt;"),
+        ("&#0000000228;&#xE4;&#x00000000000E4;", "äää"),
+        ("&bogus; &#55296; &#99999999999; & &;", "&bogus; &#55296; &#99999999999; & &;"),
+        ("no reference", "no reference"),
+        (None, None),
+    ],
+)
+def test_unescape(value, text, expected):
+    assert value(html.unescape(X), x=text) == expected
+
+
+def test_long_addresses(value):
+    local, host = "l" * 70, "a.b.c.d.e.f.g.h.i.example.com"
+    text = f"{local}@x.example, bob@{host} a@b.comx_y@c.museums {'q' * 20000} @x.y"
+    assert value(textscan.emails(X), x=text) == sorted([f"{local}@x.example", f"bob@{host}", "a@b.comx", "_y@c.museums"])
+
+
+def test_unspaced_words(value):
+    assert [t["term"] for t in value(tokens.standard(X), x="Ab東京 都は サ x")] == ["ab", "東", "京", "都", "は", "サ", "x"]
+
+
 def test_content_key(value):
     assert value(content_key(X), x="?/www.a.example/b?c/?") == "www.a.example/b?c"
 
@@ -128,10 +164,10 @@ def test_html_fields(value):
     assert value(html.title(X), x=PAGE) == "A & B"
     assert value(html.html_language(X), x=PAGE) == "de-AT"
     assert value(html.html_charset(X), x=PAGE) == "utf-8"
-    assert value(html.meta(tags, "description", "og:description"), x=PAGE) == 'd "e"'
-    assert value(html.meta(tags, "author"), x=PAGE) == "Jo & Co"
-    assert value(html.meta(tags, "article:published_time"), x=PAGE) == "2013-04-17"
-    assert value(html.meta(tags, "keywords"), x=PAGE) is None
+    assert value(html.unescape(html.meta(tags, "description", "og:description")), x=PAGE) == 'd "e"'
+    assert value(html.unescape(html.meta(tags, "author")), x=PAGE) == "Jo & Co"
+    assert value(html.unescape(html.meta(tags, "article:published_time")), x=PAGE) == "2013-04-17"
+    assert value(html.unescape(html.meta(tags, "keywords")), x=PAGE) is None
 
 
 def test_html_links(value):

@@ -259,9 +259,9 @@ def test_index_tokens(spark):
         "body": [("end", 1)],
         "body.default": [("the", 0), ("end", 1)],
         "body.bigram": [("the end", 0)],
-        "url": [("a", 1), ("example", 2), ("x", 3), ("b", 101), ("example", 102)],
+        "url": [("a", 1), ("example", 2), ("x", 3), ("b", 105), ("example", 106)],
         "media_type": [("text/html", 0)],
-        "language": [("en", 0), ("fr", 100)],
+        "language": [("en", 0), ("fr", 101)],
         "authors": [("jo", 0), ("do", 1)],
     }
 
@@ -270,6 +270,23 @@ def test_default_stop_words(spark):
     words = terms.default_stop_words(spark)
     assert words.filter("analyzer = 'german' AND term = 'und'").count() == 1
     assert words.filter("analyzer = 'english' AND term = 'the'").count() == 1
+    assert words.filter("analyzer = 'brazilian' AND term = 'para'").count() == 1
+    assert words.filter("term LIKE '%''%'").count() == 0
+
+
+def test_phrases_stay_inside_values_and_parts(spark):
+    long = " ".join(f"w{k}" for k in range(150))
+    docs = spark.createDataFrame(
+        [("d", 0, "english", [long, "beta gamma"], "alpha"), ("d", 1, "english", [], "beta")],
+        "id string, part int, analyzer string, misc array<string>, body string",
+    )
+    rows = terms.index_tokens(docs, terms.default_stop_words(spark))
+    assert lookup.phrase(rows, "misc", ["w149", "beta"]).count() == lookup.phrase(rows, "misc", ["w99", "beta"]).count() == 0
+    assert lookup.phrase(rows, "misc", [f"w{k}" for k in range(150)]).count() == 1
+    assert lookup.phrase(rows, "misc", ["beta", "gamma"]).collect() == [("d", 0, 250)]
+    assert lookup.phrase(rows, "body.default", ["alpha", "beta"]).count() == 0
+    posted = terms.postings(rows.filter("field = 'body.default'"))
+    assert sorted((r["part"], r["term"]) for r in posted.collect()) == [(0, "alpha"), (1, "beta")]
 
 
 def test_lookups(spark):

@@ -56,8 +56,11 @@ def test_gzip_and_binary_bodies(spark, tmp_path):
         file = tmp_path / "gz" / f"{key}.gz"
         os.makedirs(file.parent, exist_ok=True)
         file.write_bytes(gzip.compress(text.encode()))
-    got = {r["content_key"]: r["content"] for r in bodies.read_gzip_bodies(spark, str(tmp_path / "gz")).collect()}
+    got = {r["content_key"]: bytes(r["bytes"]).decode() for r in bodies.read_gzip_bodies(spark, str(tmp_path / "gz")).collect()}
     assert got == {"a.example/x y": "one\ntwo", "b+c": "grün"}
+    file.write_bytes(gzip.compress("grün".encode("latin-1")))  # bytes of other charsets stay as they are
+    got = {r["content_key"]: bytes(r["bytes"]) for r in bodies.read_gzip_bodies(spark, str(tmp_path / "gz")).collect()}
+    assert got["b+c"] == b"gr\xfcn"
     os.makedirs(tmp_path / "raw")
     (tmp_path / "raw" / "k").write_bytes("grün".encode("utf-16"))
     raw = bodies.read_binary_bodies(spark, str(tmp_path / "raw"))
@@ -82,6 +85,21 @@ def test_profile_files(spark, tmp_path):
     assert got == [("en", 1, "a", 5, 50), ("en", 2, "th", 3, 30), ("en", 3, "the", 2, 20)]
 
 
+@pytest.mark.parametrize(
+    ("raw", "header", "text"),
+    [
+        (b'<html><meta charset="iso-8859-1">gr\xfcn', "utf-8", '<html><meta charset="iso-8859-1">grün'),
+        (b"gr\xfcn", "ISO-8859-1", "grün"),
+        ("grün".encode(), None, "grün"),
+        ("\ufeffgrün".encode("utf-16-le"), "utf-8", "grün"),
+        (b"gr\xfcn", None, "gr\ufffdn"),
+    ],
+)
+def test_body_text(spark, raw, header, text):
+    rows = spark.createDataFrame([(bytearray(raw), header)], "b binary, h string")
+    assert rows.select(bodies.body_text(F.col("b"), F.col("h")).alias("t")).first()["t"] == text
+
+
 @pytest.mark.parametrize("few", [True, False])
 def test_attach_bodies(spark, monkeypatch, few):
     monkeypatch.setattr(bodies, "is_small", lambda df: few)
