@@ -25,7 +25,9 @@ from crawlweft.llm.texts import arrow_limits, as_bytes, map_rows, words
 
 #: Bounds of the labelled sample, in rows: toxic and ordinary.
 SAMPLE_ROWS = {1: 1500, 0: 3500}
-ORDINARY_BYTES = 16 * 1024
+#: Sizes of the ordinary dictionary and zstandard strategies (2: two hash tables, 3: greedy, 5: lazy)
+#: that the fit tries; the calibration texts decide.
+SETTINGS = tuple((size, strategy) for size in (4096, 8192, 16384) for strategy in (2, 3, 5))
 #: A stem must be this many times as frequent in toxic texts as in ordinary ones ...
 MIN_RATIO = 10.0
 #: ... and stand in a new place for every so many toxic texts, and in four places at least.
@@ -34,16 +36,17 @@ MIN_SHARE = 10
 KEEP = 0.7
 STEM = (4, 12)  # bytes of a stem
 LEAD, TAIL = b"0123456789abcdefghij", b" 12345678"
-SAVINGS = (2, 3, 4)
+SAVINGS = (1, 2, 3, 4)
 MEMO_WORDS = 300_000
 
 
 @dataclass
 class ToxicityModel:
-    """The two dictionaries, and the weights of a text's window statistics."""
+    """The two dictionaries, zstandard's strategy, and the weights of a text's window statistics."""
 
     ordinary: bytes
     toxic: bytes
+    strategy: int
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
@@ -56,12 +59,12 @@ class ToxicityModel:
 class Savings(dict):
     """Bytes that the toxic dictionary saves on a word; remembers what it has compressed."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes):
+    def __init__(self, ordinary: bytes, toxic: bytes, strategy: int):
         super().__init__()
         import zstandard as zstd
 
         params = zstd.ZstdCompressionParameters(
-            window_log=17, hash_log=16, chain_log=16, search_log=4, min_match=4, target_length=64, strategy=zstd.STRATEGY_DFAST,
+            window_log=17, hash_log=16, chain_log=16, search_log=4, min_match=4, target_length=64, strategy=strategy,
             write_content_size=0, write_checksum=0, write_dict_id=0,
         )
         self.run = []
@@ -138,26 +141,37 @@ def fit(toxic: list[str], ordinary: list[str], n_toxic: int, n_ordinary: int) ->
         parts.append((raw[:cut], raw[cut:]))
     (toxic_fit, toxic_rest), (ordinary_fit, ordinary_rest) = parts
     stems = distinctive_stems(toxic_fit, ordinary_fit)
-    share = max(64, ORDINARY_BYTES // len(ordinary_fit) + 1)
-    base = b" ".join(b" ".join(words(t)[: share // 4])[:share] for t in ordinary_fit)[:ORDINARY_BYTES]
-    own = b" " + b" ".join(stems) + b" "
-    model = ToxicityModel(base + b" " + LEAD, base + own + LEAD, np.zeros(0), np.ones(0), np.zeros(0))
-    savings = Savings(model.ordinary, model.toxic)
-    x = np.array([savings.features(t) for t in toxic_rest + ordinary_rest])
+    # Ordinary words that start like a toxic one would hide the saving.
+    starts = tuple(stems)
     y = np.r_[np.ones(len(toxic_rest)), np.zeros(len(ordinary_rest))]
     # The sample is richer in toxic texts than the corpus; weights undo that.
     weight = np.r_[np.full(len(toxic_rest), n_toxic / len(toxic_rest)), np.full(len(ordinary_rest), n_ordinary / len(ordinary_rest))]
     weight /= weight.sum()
+    best, least = None, np.inf
+    for size, strategy in SETTINGS:
+        share = max(64, size // len(ordinary_fit) + 1)
+        base = b" ".join(b" ".join(w for w in words(t)[: share // 4] if not w.startswith(starts))[:share] for t in ordinary_fit)[:size]
+        own = b" " + b" ".join(stems) + b" "
+        model = ToxicityModel(base + b" " + LEAD, base + own + LEAD, strategy, np.zeros(0), np.ones(0), np.zeros(0))
+        savings = Savings(model.ordinary, model.toxic, strategy)
+        loss = _calibrate(model, np.array([savings.features(t) for t in toxic_rest + ordinary_rest]), y, weight)
+        if loss < least:
+            best, least = model, loss
+    return best
+
+
+def _calibrate(model: ToxicityModel, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """Set a model's weights by logistic regression on texts that it did not see; the remaining loss."""
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-6
     z = np.c_[(x - model.mean) / model.scale, np.ones(len(x))]
     w = np.zeros(z.shape[1])
-    for _ in range(60):  # Newton steps of a logistic regression with a little shrinkage
+    for _ in range(60):  # Newton steps with a little shrinkage
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        slope = z.T @ (weight * (p - y)) + 1e-3 * w
-        bend = (z * (weight * p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(len(w))
+        slope = z.T @ (weight * (p - y)) + 1e-4 * w
+        bend = (z * (weight * p * (1 - p))[:, None]).T @ z + 1e-4 * np.eye(len(w))
         w -= np.linalg.solve(bend, slope)
     model.weights = w
-    return model
+    return float(-(weight * np.where(y == 1, np.log(model.scores(x) + 1e-9), np.log(1 - model.scores(x) + 1e-9))).sum())
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", bounds: dict[int, int] | None = None) -> ToxicityModel | None:
@@ -167,9 +181,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
 
 
 @lru_cache(maxsize=1)
-def _savings(ordinary: bytes, toxic: bytes) -> Savings:
+def _savings(ordinary: bytes, toxic: bytes, strategy: int) -> Savings:
     """One memory of words per worker process, which its next tasks use too."""
-    return Savings(ordinary, toxic)
+    return Savings(ordinary, toxic, strategy)
 
 
 def _task_scores(model: ToxicityModel | None):
@@ -178,7 +192,7 @@ def _task_scores(model: ToxicityModel | None):
     def score(texts: list[bytes | None]) -> np.ndarray:
         if model is None or not texts:
             return np.zeros(len(texts))
-        savings = _savings(model.ordinary, model.toxic)
+        savings = _savings(model.ordinary, model.toxic, model.strategy)
         return model.scores(np.array([savings.features(x) for x in texts]))
 
     return score
