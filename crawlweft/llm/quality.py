@@ -25,7 +25,9 @@ from crawlweft.llm.texts import as_bytes, map_rows
 POSITIVE_ROWS = 4000
 UNLABELLED_ROWS = 6000
 BINS = 12
-STEPS = 500
+STEPS = 400
+FOLDS = 2
+REFINE = 1
 
 _KINDS = np.zeros((256, 8), np.float32)
 for _c in range(256):
@@ -113,17 +115,17 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
     Above any threshold, positives make at most all of the unlabelled rows, so the ratio
     of the two tails bounds the share from above; the smallest ratio over tails with
-    enough positives is taken, with half a standard error added for the tail's size.
+    enough positives is taken, averaged over the three smallest.
     """
     p, u = np.sort(positive), np.sort(unlabelled)
-    best = 1.0
+    ratios = [1.0] * 3
     for q in np.linspace(0.05, 0.7, 14):
         cut = np.quantile(p, q)
         above = 1 - np.searchsorted(p, cut, side="left") / len(p)
         also = 1 - np.searchsorted(u, cut, side="left") / len(u)
         if above > 0.05:
-            best = min(best, (also + 0.5 * np.sqrt(also * (1 - also) / len(u))) / above)
-    return float(np.clip(best, 0.02, 0.98))
+            ratios.append(also / above)
+    return float(np.clip(np.mean(sorted(ratios)[:3]), 0.02, 0.98))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = STEPS) -> QualityModel | None:
@@ -139,17 +141,19 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = STEPS) -> Qua
     places, width = model.places(x), len(model.weights) - 1
     is_p = np.arange(len(x)) < n_p
 
-    # The prior is read off rows that its separator did not see.
-    seen = np.arange(len(x)) % 2 == 0
+    # The prior is read off rows that their separator did not see.
+    out, fold = np.zeros(len(x)), np.arange(len(x)) % FOLDS
+    for k in range(FOLDS):
+        seen = fold != k
+        p_seen = is_p[seen]
 
-    def plain(z):
-        s = _sigmoid(z)
-        return np.where(is_p[seen], (s - 1) / is_p[seen].sum(), s / max(1, (~is_p[seen]).sum()))
+        def plain(z, p_seen=p_seen):
+            s = _sigmoid(z)
+            return np.where(p_seen, (s - 1) / max(1, p_seen.sum()), s / max(1, (~p_seen).sum()))
 
-    w = _descend(places[seen], width, plain, steps // 2)
-    out = w[places[~seen]].sum(axis=1) + w[-1]
-    other = is_p[~seen]
-    model.prior = prior = estimate_prior(out[other], out[~other]) if other.any() and not other.all() else 0.5
+        w = _descend(places[seen], width, plain, steps // 2)
+        out[~seen] = w[places[~seen]].sum(axis=1) + w[-1]
+    model.prior = prior = estimate_prior(out[is_p], out[~is_p])
 
     def non_negative(z):
         s = _sigmoid(z)
@@ -160,7 +164,12 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = STEPS) -> Qua
             return -of_negative
         return np.where(is_p, prior * (s - 1) / n_p, 0) + of_negative
 
-    model.weights = _descend(places, width, non_negative, steps)
+    # A model of that prior separates better than the plain one, and so tells the prior better.
+    for turn in range(REFINE + 1):
+        model.weights = _descend(places, width, non_negative, steps)
+        if turn < REFINE:
+            out = model.raw(x)
+            model.prior = prior = min(prior, estimate_prior(out[is_p], out[~is_p]))
     return model
 
 
