@@ -16,18 +16,20 @@ reaches the threshold.  The join finds all linked documents up to connection:
 
 Links inside a group need no search, so a large group of near copies costs one
 comparison per member; nothing grows with the square of a group.  Rarity comes from a
-count sketch of fixed size over all documents.  Any order of the tokens gives right
+count sketch of bounded size over all documents.  Any order of the tokens gives right
 results as long as all documents use the same one; the sketch only keeps frequent
 tokens out of the prefixes.
 """
 
 from __future__ import annotations
 
+import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,8 @@ from crawlweft.operators.staging import scratch_path, write_stage
 WORDS = 5
 THRESHOLD = (80, 100)  # as a fraction, so that it is compared without rounding
 OVERLAP = 3
-SKETCH_BITS = 18
+CHUNK = 1 << 16
+MOST_BUCKETS = 1 << 26
 #: Odd factors that turn a token's hash into further hash functions; two make a group key.
 _FACTORS = tuple(int(x) | 1 for x in np.random.default_rng(11).integers(1, 1 << 63, 8))
 
@@ -56,30 +59,61 @@ def _needed(n: int, threshold: tuple[int, int]) -> int:
 def rarity(docs: DataFrame, text: str, k: int, split=spaced_words) -> np.ndarray:
     """A class of frequency for each bucket of token hashes; 0 for the usual, one more per doubling.
 
-    All tokens of all documents are counted in `2 ** SKETCH_BITS` buckets.
+    All tokens of all documents are counted.  There is a bucket for about eight tokens,
+    up to `MOST_BUCKETS`, so the result has at most that many bytes.  Tasks count in an
+    array and send it in compressed chunks, which are added in two steps.
     """
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    buckets = min(MOST_BUCKETS, max(CHUNK, 1 << int(size // 56).bit_length()))
+    mask = np.uint64(buckets - 1)
 
     def count(batches):
-        spans, total = Spans(), np.zeros(1 << SKETCH_BITS, np.int64)
-        mask = np.uint64((1 << SKETCH_BITS) - 1)
+        spans, total = Spans(), np.zeros(buckets, np.uint32)
+
+        def add(held):
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            total[values] += n.astype(np.uint32)
+
         for batch in batches:
             held, size = [], 0
             for raw in batch.column(0).to_pylist():
                 held.append(_tokens(spans, raw, k, split) & mask)
                 size += len(held[-1])
                 if size > 1 << 19:
-                    total += np.bincount(np.concatenate(held).view(np.int64), minlength=1 << SKETCH_BITS)
+                    add(held)
                     held, size = [], 0
             if held:
-                total += np.bincount(np.concatenate(held).view(np.int64), minlength=1 << SKETCH_BITS)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["bucket", "n"])
+                add(held)
+        salt = TaskContext.get().partitionId() % 256
+        for at in range(0, buckets, CHUNK):
+            if total[at : at + CHUNK].any():
+                data = zlib.compress(total[at : at + CHUNK].astype(np.uint64).tobytes(), 1)
+                yield pa.RecordBatch.from_pydict({"chunk": [at // CHUNK], "salt": [salt], "data": [data]}, schema)
+
+    schema = pa.schema([("chunk", pa.int32()), ("salt", pa.int32()), ("data", pa.binary())])
+
+    def summed(rows):
+        out = np.zeros(CHUNK, np.uint64)
+        for data in rows["data"]:
+            out += np.frombuffer(zlib.decompress(data), np.uint64)
+        return out
 
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in docs.select(as_bytes(text)).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        counts[r["bucket"]] = r["n"]
-    usual = max(1.0, counts.mean())
-    return np.maximum(0, np.floor(np.log2(np.maximum(counts, 1) / usual))).astype(np.uint8)
+    def add_up(rows):
+        return rows[:1].assign(data=[zlib.compress(summed(rows).tobytes(), 1)])
+
+    def levels(rows):
+        counts = summed(rows)
+        return rows[["chunk"]][:1].assign(n=int(counts.sum()), data=[np.floor(np.log2(np.maximum(counts, 1))).astype(np.uint8).tobytes()])
+
+    arrow_limits(docs.sparkSession)
+    parts = docs.select(as_bytes(text)).mapInArrow(count, "chunk int, salt int, data binary")
+    parts = parts.groupBy("chunk", "salt").applyInPandas(add_up, "chunk int, salt int, data binary")
+    out, n = np.zeros(buckets, np.int16), 0
+    for r in parts.groupBy("chunk").applyInPandas(levels, "chunk int, n long, data binary").toLocalIterator():
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["data"], np.uint8)
+        n += r["n"]
+    usual = max(0, int(n // buckets).bit_length() - 1)
+    return np.maximum(0, out - usual).astype(np.uint8)
 
 
 def describe(docs: DataFrame, classes: np.ndarray, doc_id: str, text: str, k: int, threshold: tuple[int, int], split=spaced_words) -> DataFrame:
@@ -95,7 +129,7 @@ def describe(docs: DataFrame, classes: np.ndarray, doc_id: str, text: str, k: in
             return 0, None, [], []
         least = [int((tokens * np.uint64(f)).min()) for f in _FACTORS]
         keys = [xxhash.xxh3_64_intdigest(f"{j}:{least[j]}:{least[j + 1]}") - (1 << 63) for j in range(0, len(least), 2)]
-        order = tokens >> np.uint64(8) | held.value[tokens & np.uint64((1 << SKETCH_BITS) - 1)].astype(np.uint64) << np.uint64(56)
+        order = tokens >> np.uint64(8) | held.value[tokens & np.uint64(len(held.value) - 1)].astype(np.uint64) << np.uint64(56)
         needed = _needed(n, threshold)
         size = min(n, n - needed + min(OVERLAP, needed))
         prefix = np.partition(order, size - 1)[:size] if size < n else order
