@@ -1,8 +1,10 @@
 """Lookups over the document, token and postings tables."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlweft.functions.tokens import ANALYZERS
+
 
 def keyword(documents: DataFrame, column: str, value: str) -> DataFrame:
     """Documents whose unanalyzed field (text or list of texts) holds exactly `value`."""
@@ -24,6 +26,12 @@ def flag(documents: DataFrame, column: str, value: bool) -> DataFrame:
     return documents.filter(F.col(column) == F.lit(value))
 
 
+def query_terms(spark: SparkSession, text: str, analyzer: str = "standard") -> list[str]:
+    """Terms of a query text, by the analyzer of the field that it looks in, in order."""
+    found = spark.range(1).select(F.transform(ANALYZERS[analyzer](F.lit(text)), lambda t: t["term"]).alias("terms"))
+    return found.first()["terms"]
+
+
 def all_terms(token_rows: DataFrame, field: str, terms: list[str], key: str = "id") -> DataFrame:
     """(key, hits): documents that hold every term in the field."""
     wanted = sorted(set(terms))

@@ -179,6 +179,14 @@ def postings(token_rows: DataFrame, *key: str) -> DataFrame:
     )
 
 
+def count_terms(documents: DataFrame, field: str, column: str, analyzer: str) -> DataFrame:
+    """(field, term, df, cf) straight from whole texts, which do not move: only terms do, combined first."""
+    found = F.transform(tokens.ANALYZERS[analyzer](F.col(column)), lambda t: t["term"])
+    once = lambda terms, df, cf: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(df).alias("df"), F.lit(cf).alias("cf")))
+    rows = documents.select(found.alias("t")).select(F.explode(F.concat(once(F.col("t"), 0, 1), once(F.array_distinct("t"), 1, 0))).alias("e"))
+    return rows.groupBy(F.lit(field).alias("field"), F.col("e.term").alias("term")).agg(F.sum("e.df").alias("df"), F.sum("e.cf").alias("cf"))
+
+
 def dictionary(posting_rows: DataFrame) -> DataFrame:
     """(field, term, df, cf).  Counts combine on the map side, so hot terms do not skew."""
     return posting_rows.groupBy("field", "term").agg(

@@ -678,8 +678,7 @@ def postings(spark, sf_dir):
 
 @query(f"SELECT 'body' AS field, term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM {_BODY_TOKENS} GROUP BY term")
 def dictionary(spark, sf_dir):
-    tf = _body_tokens(spark, sf_dir).groupBy("doc_id", "field", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return terms.dictionary(tf)
+    return terms.count_terms(d.texts(spark, sf_dir), "body", "text", "standard")
 
 
 # --- lookups ----------------------------------------------------------------
@@ -729,7 +728,7 @@ def numeric_filter(spark, sf_dir):
 )
 def match_all_terms(spark, sf_dir):
     rows = terms.tokenize(d.texts(spark, sf_dir), "doc_id", "body", "text", "standard")
-    return lookup.all_terms(rows, "body", ["the", "of", "and"], "doc_id")
+    return lookup.all_terms(rows, "body", lookup.query_terms(spark, "The, OF and"), "doc_id")
 
 
 @query(
@@ -739,7 +738,7 @@ def match_all_terms(spark, sf_dir):
 )
 def phrase_match(spark, sf_dir):
     rows = terms.tokenize(d.texts(spark, sf_dir), "doc_id", "body", "text", "standard")
-    return lookup.phrase(rows, "body", ["of", "the"], "doc_id")
+    return lookup.phrase(rows, "body", lookup.query_terms(spark, "Of the"), "doc_id")
 
 
 # --- bodies and sinks -------------------------------------------------------

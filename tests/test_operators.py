@@ -294,6 +294,11 @@ def test_lookups(spark):
     tokens = terms.tokenize(docs, "id", "body", "text", "standard")
     found = lambda df: sorted(map(tuple, df.collect()))
     assert found(lookup.all_terms(tokens, "body", ["rain", "the"])) == [(1, 4), (2, 3)]
+    assert lookup.query_terms(spark, "The RAIN, rain") == ["the", "rain", "rain"]
+    assert found(lookup.all_terms(tokens, "body", lookup.query_terms(spark, "Rain THE"))) == [(1, 4), (2, 3)]
+    counted = terms.count_terms(docs, "body", "text", "standard").collect()
+    posted = terms.dictionary(terms.postings(tokens, "id")).collect()
+    assert sorted(map(tuple, counted)) == sorted(map(tuple, posted))
     assert found(lookup.all_terms(tokens, "title", ["rain"], "id")) == []
     assert found(lookup.phrase(tokens, "body", ["the", "rain"], "id")) == [(1, 0), (1, 2), (2, 1)]
     assert found(lookup.phrase(tokens, "body", ["a", "b", "a"], "id")) == [(5, 0), (5, 2)]
