@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from crawlweft.llm.texts import as_bytes, map_rows
 
 UNDETERMINED = "und"
-#: Bound of the labelled sample that the dictionaries are made from, in rows of a language.
+#: Bound of the labelled sample that the dictionaries are made from, in distinct texts of a language.
 SAMPLE_ROWS = 400
 DICTIONARY_BYTES = 64 * 1024
 WINDOW_BYTES = 4096
@@ -36,12 +36,14 @@ def train_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lan
     """A raw-content dictionary for each language of the labelled rows.
 
     At most about `sample_rows` whole texts of a language are taken, by a hash of the
-    text whose cut follows the language's count, and their words are joined until the
+    text whose cut follows the language's count of distinct texts, so copies displace
+    no other text; up to `sample_rows` all are taken.  Their words are joined until the
     dictionary is full, texts taking turns.  Rows without language or text are left out.
     Only the samples reach the driver, whose bound is `sample_rows` times languages.
     """
     rows = labelled.select(F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("g")).filter("t is not null and g is not null")
-    counts = {r.g: r.n for r in rows.groupBy("g").agg(F.count("*").alias("n")).collect()}
+    hashes = rows.select("g", F.xxhash64("t").alias("h")).distinct()
+    counts = {r.g: r.n for r in hashes.groupBy("g").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
     step = 1 << 30

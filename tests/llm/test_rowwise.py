@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crawlweft.llm import decontaminate, language_id, licences, packing, quality, toxicity
 from crawlweft.llm.queries import VOCABULARY_JSON, VOCABULARY_PATTERN, VOCABULARY_RANKS
+from crawlweft.llm.samples import labelled_texts
 from crawlweft.llm.texts import Spans, spaced_words, words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -214,6 +215,17 @@ def test_language(spark):
     assert language_id.train_dictionaries(train.limit(0)) == {}
 
 
+def test_copies_displace_no_text_of_the_samples(spark):
+    rng = random.Random(16)
+    copy = prose(rng, ["pli", "qua"], 50)
+    texts = [f"{k} {prose(rng, ['tor', 'mel', 'wig'], 50)}" for k in range(30)]
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 30, F.element_at(F.array(*map(F.lit, texts)), (F.col("id") + 1).cast("int"))).otherwise(copy).alias("text"))
+    (dictionary,) = language_id.train_dictionaries(rows.withColumn("lang", F.lit("aa"))).values()
+    assert all(language_id._form(t).encode() in dictionary for t in [*texts, copy])
+    found, counts = labelled_texts(rows, rows.select("doc_id", F.lit(1).alias("toxic")), "toxic", {1: 100, 0: 100})
+    assert (sorted(found[1]), counts) == (sorted([*texts, copy]), {1: 40_000, 0: 0})
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     stems = ["tor", "mel", "wig", "dun", "pli", "qua", "zer", "oni"]
