@@ -30,8 +30,8 @@ SAMPLE_ROWS = {1: 1500, 0: 3500}
 SETTINGS = tuple((size, strategy) for size in (4096, 8192, 16384) for strategy in (2, 3, 5))
 #: A stem must be this many times as frequent in toxic texts as in ordinary ones ...
 MIN_RATIO = 10.0
-#: ... and stand in a new place for every so many toxic texts, and in four places at least.
-MIN_SHARE = 10
+#: ... and stand in so many toxic texts and places at least, and in more than chance would put there.
+MIN_TEXTS = 4
 #: A stem gives way to a longer one that still occurs in this part of its texts.
 KEEP = 0.7
 STEM = (4, 12)  # bytes of a stem
@@ -91,6 +91,10 @@ class Savings(dict):
         return out
 
 
+def _starts(word: bytes) -> list[bytes]:
+    return [word[:k] for k in range(STEM[0], min(len(word), STEM[1]) + 1)]
+
+
 def _contexts(texts: list[bytes]) -> tuple[Counter, int]:
     """For each start of a word, in how many different pairs of neighbours it stands; and all such places.
 
@@ -103,17 +107,30 @@ def _contexts(texts: list[bytes]) -> tuple[Counter, int]:
     of_words = Counter(w for _, w, _ in places)
     stems = Counter()
     for w, n in of_words.items():
-        for k in range(STEM[0], min(len(w), STEM[1]) + 1):
-            stems[w[:k]] += n
+        for stem in _starts(w):
+            stems[stem] += n
     return stems, len(places)
 
 
 def distinctive_stems(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Starts of words that mark toxic texts, the most telling last; of nested ones the longest that keeps most texts."""
+    """Starts of words that mark toxic texts, the most telling last; of nested ones the longest that keeps most texts.
+
+    A rare stem counts when chance alone would give less than one such stem: Chernoff's
+    bound for its share of toxic places, times the number of stems tried.  One text counts
+    once there, so a name that fills a single text is no mark.
+    """
     seen, all_toxic = _contexts(toxic)
-    least = max(4, len(toxic) // MIN_SHARE)
-    seen = {s: n for s, n in seen.items() if n >= least}
+    of_texts = Counter(s for t in toxic for s in {s for w in set(words(t)) for s in _starts(w)})
     usual, all_ordinary = _contexts(ordinary)
+    share, tried = all_toxic / max(1, all_toxic + all_ordinary), max(1, len(seen))
+
+    def beyond_chance(stem: bytes) -> bool:
+        n, m = min(seen[stem], of_texts[stem]), usual[stem]
+        if n < MIN_TEXTS or n <= share * (n + m):
+            return False
+        return n * np.log(n / (share * (n + m))) + (m * np.log(m / ((1 - share) * (n + m))) if m else 0) >= np.log(tried)
+
+    seen = {s: n for s, n in seen.items() if beyond_chance(s)}
     ratio = {s: ((n + 0.5) / (all_toxic + 1)) / ((usual[s] + 0.5) / (all_ordinary + 1)) for s, n in seen.items()}
     kept = {s for s in seen if ratio[s] >= MIN_RATIO}
     out = []

@@ -250,6 +250,24 @@ def test_toxicity(spark):
     assert [r.score for r in toxicity.score_toxicity(docs, None).limit(1).collect()] == [0.0]
 
 
+def test_rare_toxic_words_count(spark):
+    rng = random.Random(18)
+    stems = ["tor", "mel", "wig", "dun", "pli", "qua", "zer", "oni"]
+    marks = ["".join(rng.choice("bcdfghjk") + rng.choice("aeiou") for _ in range(5)) + "x" for _ in range(60)]
+    rows = []
+    for k in range(2400):
+        ws = prose(rng, stems, rng.randint(60, 200)).split()
+        if k % 3 == 0:
+            for at in range(0, len(ws), 40):
+                ws[at] = rng.choice(marks)  # each in about 5 % of toxic texts
+        rows.append((k, " ".join(ws), int(k % 3 == 0)))
+    docs = documents(spark, [t for _, t, _ in rows])
+    model = toxicity.train(docs, spark.createDataFrame([(k, y) for k, _, y in rows if k < 1800], "doc_id long, toxic int"))
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, model).collect()}
+    assert sum(got[k] == y for k, _, y in rows if k >= 1800) >= 0.95 * 600
+    assert sum(got[k] for k, _, y in rows if k >= 1800 and y) >= 0.95 * 200
+
+
 def test_quality(spark):
     rng = random.Random(8)
     stems = ["tor", "mel", "wig", "dun", "pli", "qua", "zer", "oni"]
