@@ -5,8 +5,11 @@ same ordinary text and the stretches that set toxic texts apart.  A window is
 compressed with both; where the toxic dictionary saves bytes, the window resembles toxic
 text.  A window is one word between a fixed lead-in and tail: the lead-in lies in both
 dictionaries, so that a short word is compressed rather than stored, and the tail lets
-the matcher look at a word's last bytes.  The shares of windows above several savings
-go through thresholds calibrated on labelled texts that the dictionaries did not see.
+the matcher look at a word's last bytes.  A second pair of dictionaries is trained by
+zstandard on samples of the two kinds of text and compared over windows of several words,
+which tells phrases and contexts of usual words.  The shares of windows above several
+savings of either pair go through thresholds calibrated on labelled texts that the
+dictionaries did not see.
 """
 
 from __future__ import annotations
@@ -38,15 +41,20 @@ STEM = (4, 12)  # bytes of a stem
 LEAD, TAIL = b"0123456789abcdefghij", b" 12345678"
 SAVINGS = (1, 2, 3, 4)
 MEMO_WORDS = 300_000
+#: Words of a window of the trained dictionaries, the bytes of each of them, and the savings looked at.
+PHRASE_WORDS = 12
+PHRASE_BYTES = 32 * 1024
+PHRASE_SAVINGS = (2, 5, 10)
 
 
 @dataclass
 class ToxicityModel:
-    """The two dictionaries, zstandard's strategy, and the weights of a text's window statistics."""
+    """The dictionaries of words and of phrases, zstandard's strategy, and the weights of a text's window statistics."""
 
     ordinary: bytes
     toxic: bytes
     strategy: int
+    phrases: tuple[bytes, bytes]
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
@@ -91,6 +99,46 @@ class Savings(dict):
         return out
 
 
+def _phrase_windows(raw: bytes | None) -> list[bytes]:
+    ws = words(raw)
+    return [b" ".join(ws[k : k + PHRASE_WORDS]) for k in range(0, len(ws), PHRASE_WORDS)]
+
+
+def train_phrases(texts: list[bytes]) -> bytes:
+    """A dictionary that zstandard trains on the windows of texts; the windows themselves where they are too few."""
+    import zstandard as zstd
+
+    windows = [w for t in texts for w in _phrase_windows(t)]
+    try:
+        return zstd.train_dictionary(PHRASE_BYTES, windows, k=64, d=8).as_bytes()
+    except zstd.ZstdError:
+        return b" ".join(windows)[-PHRASE_BYTES:]
+
+
+class Phrases:
+    """Bytes that the dictionary trained on toxic texts saves on windows of several words."""
+
+    def __init__(self, ordinary: bytes, toxic: bytes):
+        import zstandard as zstd
+
+        params = zstd.ZstdCompressionParameters.from_level(3, write_content_size=0, write_checksum=0, write_dict_id=0)
+        self.run = []
+        for content in (ordinary, toxic):
+            data = zstd.ZstdCompressionDict(content)
+            data.precompute_compress(level=3)
+            self.run.append(zstd.ZstdCompressor(dict_data=data, compression_params=params).compress)
+
+    def features(self, raw: bytes | None) -> list[float]:
+        """Mean saving of a text's windows, and the log count and log share of those at each saving."""
+        windows = _phrase_windows(raw)
+        saved = np.array([len(self.run[0](w)) - len(self.run[1](w)) for w in windows], np.int64)
+        out = [float(saved.mean()) if len(saved) else 0.0]
+        for least in PHRASE_SAVINGS:
+            n = int((saved >= least).sum())
+            out += [np.log1p(n), np.log(0.002 + n / max(1, len(windows)))]
+        return out
+
+
 def _starts(word: bytes) -> list[bytes]:
     return [word[:k] for k in range(STEM[0], min(len(word), STEM[1]) + 1)]
 
@@ -164,14 +212,16 @@ def fit(toxic: list[str], ordinary: list[str], n_toxic: int, n_ordinary: int) ->
     # The sample is richer in toxic texts than the corpus; weights undo that.
     weight = np.r_[np.full(len(toxic_rest), n_toxic / len(toxic_rest)), np.full(len(ordinary_rest), n_ordinary / len(ordinary_rest))]
     weight /= weight.sum()
+    phrases = train_phrases(ordinary_fit), train_phrases(toxic_fit)
+    of_phrases = list(map(Phrases(*phrases).features, toxic_rest + ordinary_rest))
     best, least = None, np.inf
     for size, strategy in SETTINGS:
         share = max(64, size // len(ordinary_fit) + 1)
         base = b" ".join(b" ".join(w for w in words(t)[: share // 4] if not w.startswith(starts))[:share] for t in ordinary_fit)[:size]
         own = b" " + b" ".join(stems) + b" "
-        model = ToxicityModel(base + b" " + LEAD, base + own + LEAD, strategy, np.zeros(0), np.ones(0), np.zeros(0))
+        model = ToxicityModel(base + b" " + LEAD, base + own + LEAD, strategy, phrases, np.zeros(0), np.ones(0), np.zeros(0))
         savings = Savings(model.ordinary, model.toxic, strategy)
-        loss = _calibrate(model, np.array([savings.features(t) for t in toxic_rest + ordinary_rest]), y, weight)
+        loss = _calibrate(model, np.array([savings.features(t) + p for t, p in zip(toxic_rest + ordinary_rest, of_phrases, strict=True)]), y, weight)
         if loss < least:
             best, least = model, loss
     return best
@@ -198,9 +248,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
 
 
 @lru_cache(maxsize=1)
-def _savings(ordinary: bytes, toxic: bytes, strategy: int) -> Savings:
+def _savings(ordinary: bytes, toxic: bytes, strategy: int, phrases: tuple[bytes, bytes]) -> tuple[Savings, Phrases]:
     """One memory of words per worker process, which its next tasks use too."""
-    return Savings(ordinary, toxic, strategy)
+    return Savings(ordinary, toxic, strategy), Phrases(*phrases)
 
 
 def _task_scores(model: ToxicityModel | None):
@@ -209,8 +259,8 @@ def _task_scores(model: ToxicityModel | None):
     def score(texts: list[bytes | None]) -> np.ndarray:
         if model is None or not texts:
             return np.zeros(len(texts))
-        savings = _savings(model.ordinary, model.toxic, model.strategy)
-        return model.scores(np.array([savings.features(x) for x in texts]))
+        savings, phrases = _savings(model.ordinary, model.toxic, model.strategy, model.phrases)
+        return model.scores(np.array([savings.features(x) + phrases.features(x) for x in texts]))
 
     return score
 

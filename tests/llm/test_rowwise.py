@@ -268,6 +268,25 @@ def test_rare_toxic_words_count(spark):
     assert sum(got[k] for k, _, y in rows if k >= 1800 and y) >= 0.95 * 200
 
 
+def test_toxic_phrases_of_usual_words_count(spark):
+    rng = random.Random(19)
+    stems = ["tor", "mel", "wig", "dun", "pli", "qua", "zer", "oni"]
+    phrases = [prose(rng, stems, 12).split() for _ in range(4)]
+    rows = []
+    for k in range(1200):
+        ws = prose(rng, stems, rng.randint(60, 200)).split()
+        for at in range(0, len(ws) - 12, 30):
+            phrase = list(rng.choice(phrases))
+            if k % 3:
+                rng.shuffle(phrase)  # the same words in ordinary texts, in another order
+            ws[at : at + 12] = phrase
+        rows.append((k, " ".join(ws), int(k % 3 == 0)))
+    docs = documents(spark, [t for _, t, _ in rows])
+    model = toxicity.train(docs, spark.createDataFrame([(k, y) for k, _, y in rows if k < 900], "doc_id long, toxic int"))
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, model).collect()}
+    assert sum(got[k] == y for k, _, y in rows if k >= 900) >= 0.95 * 300
+
+
 def test_quality(spark):
     rng = random.Random(8)
     stems = ["tor", "mel", "wig", "dun", "pli", "qua", "zer", "oni"]
