@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweft.llm import decontaminate, fingerprints, language_id, licences, ngram_join, packing, quality, substrings, toxicity, warc
+from crawlweft.llm import decontaminate, fingerprints, language_id, licences, merkle, ngram_join, packing, quality, substrings, toxicity, warc
+from crawlweft.llm.oracles import MERKLE
 from crawlweft.llm.samples import learnable
 
 #: Vocabulary files of a public tokenizer, present on every machine.
@@ -87,6 +88,14 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_repeated", "n_links", "component_id", "leaders", F.size("spans").alias("n_passages"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = {"n_chars": F.when(tampered, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))}
+    found = merkle.manifest(docs, ("doc_id", "source", "lang", "n_chars", "text"), "lang", "doc_id", changed)
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,7 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_language,
         op10_substrings,
+        op11_merkle,
     )
 }
-#: SQL can express none of the methods whole: labels, tables, fits and packings are checked against brute force in tests.
-ORACLES: dict[str, str] = {}
+#: SQL can express none of the other methods whole: labels, tables, fits and packings are checked against brute force in tests.
+ORACLES: dict[str, str] = {"op11_merkle": MERKLE}
