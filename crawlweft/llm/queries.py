@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweft.llm import decontaminate, fingerprints, language_id, licences, merkle, ngram_join, packing, quality, substrings, toxicity, warc
-from crawlweft.llm.oracles import MERKLE
+from crawlweft.llm import conversations, decontaminate, fingerprints, language_id, licences, merkle, ngram_join, packing, quality, substrings, toxicity, warc
+from crawlweft.llm.oracles import CONVERSATIONS, MERKLE
 from crawlweft.llm.samples import learnable
 
 #: Vocabulary files of a public tokenizer, present on every machine.
@@ -96,6 +96,15 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    report, messages = conversations.repair(conversations.damage(rows), copies="copies")
+    found = conversations.digests(report, messages).withColumnRenamed("conv_id", "_id")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_id")), "left")
+    counts = [F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -110,7 +119,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language,
         op10_substrings,
         op11_merkle,
+        op13_conversations,
     )
 }
 #: SQL can express none of the other methods whole: labels, tables, fits and packings are checked against brute force in tests.
-ORACLES: dict[str, str] = {"op11_merkle": MERKLE}
+ORACLES: dict[str, str] = {"op11_merkle": MERKLE, "op13_conversations": CONVERSATIONS}
