@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweft.llm import conversations, decontaminate, fingerprints, language_id, licences, merkle, ngram_join, packing, quality, substrings, toxicity, warc
+from crawlweft.llm import conversations, decontaminate, fingerprints, language_id, licences, merkle, ngram_join, packing, quality, substrings, suffix_arrays, toxicity, warc
 from crawlweft.llm.oracles import CONVERSATIONS, MERKLE
 from crawlweft.llm.samples import learnable
 
@@ -96,6 +96,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op12_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_arrays.cut_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["stop"] - x["first"])
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     report, messages = conversations.repair(conversations.damage(rows), copies="copies")
@@ -119,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language,
         op10_substrings,
         op11_merkle,
+        op12_suffix_array,
         op13_conversations,
     )
 }
