@@ -37,12 +37,10 @@ from crawlweft.llm.texts import Spans, arrow_limits, mix
 from crawlweft.operators.staging import broadcast_if_small, scratch_path, write_stage
 
 LENGTH = 400  # bytes
-GRAMS = (64, 192, 336)
+GRAMS = (64, 192, 304, 360, 388)
 #: Different segments of one key that are searched as one, and text of a block, in bytes.
 KEY_BYTES = 1 << 18
 BLOCK = 1 << 20
-#: Windows of a segment at most; only in periodic texts do windows with one key go on.
-RUN = 2048
 _PLACE_BITS = 20
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
 
@@ -142,9 +140,11 @@ def runs_of(places: NDArray) -> list[dict[str, int]]:
 def segments_of(raw: bytes, gram: int, length: int, spans: Spans) -> tuple[NDArray, ...]:
     """(start, size, key, inner) of the segments of a text; `inner` says that a segment may repeat a string in itself.
 
-    With `gram` equal to `length`, each segment is a run of equal windows.
+    One gram is the least of at most `length - gram + 1` windows.  Longer runs, which need equal grams, are
+    cut after so many, so that periodic texts fall into few different segments.  With `gram`
+    equal to `length`, each segment is a whole run of equal windows.
     """
-    out = []
+    out, most = [], length - gram + 1
     step = (1 << _PLACE_BITS) - length
     for at in range(0, len(raw) - length + 1, step):
         code = np.frombuffer(raw, np.uint8, min(len(raw) - at, step + length - 1), at)
@@ -160,10 +160,10 @@ def segments_of(raw: bytes, gram: int, length: int, spans: Spans) -> tuple[NDArr
         new[1:] = value[1:] != value[:-1]
         start = np.flatnonzero(new)
         windows = np.diff(np.concatenate((start, [len(value)])))
-        if len(windows) and windows.max() > RUN:
-            parts = -(-windows // RUN)
+        if len(windows) and gram < length and windows.max() > most:
+            parts = -(-windows // most)
             nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-            start = np.repeat(start, parts) + nth * RUN
+            start = np.repeat(start, parts) + nth * most
             windows = np.diff(np.concatenate((start, [len(value)])))
         last = start + windows - 1
         out.append((start + at, windows + length - 1, value[start].view(np.int64), place[start] != place[last]))
