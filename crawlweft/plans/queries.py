@@ -988,35 +988,70 @@ def full_pipeline_rejects(spark, sf_dir):
     return _index(spark, sf_dir, d.all_records(spark, sf_dir)).rejects
 
 
+_LINK_TEXT = r"""list_transform(regexp_extract_all(body, '(?i)https?://[^\s<>"''(){}\[\]]+'), lambda u: regexp_replace(u, '[.,;:!?]+$', ''))"""
+# The terms of one value, by the analyzer of its field.
+_VALUE_TERMS = f"""CASE kind
+    WHEN 'url' THEN list_filter({o.numbered("list_filter(regexp_split_to_array(lower(v), '[:/?&=.#]+'), lambda z: z <> '')")}, lambda z: z.term NOT IN ('http', 'https', 'www'))
+    WHEN 'filename' THEN {_grams_sql(o.words('v'), 3)}
+    WHEN 'email' THEN {o.numbered(_NONWORD.format(c='v'))}
+    WHEN 'simple' THEN {o.numbered("regexp_extract_all(lower(v), " + o.LETTERS + ")")}
+    WHEN 'bigram' THEN list_transform(list_filter(list_zip({o.words('v')}, {o.words('v')}[2:]), lambda z: z[2] IS NOT NULL),
+      lambda z, i: {{'term': substr(z[1], 1, 5) || ' ' || substr(z[2], 1, 5), 'position': i - 1}})
+    WHEN 'keyword' THEN [{{'term': v, 'position': 0}}]
+    ELSE {o.numbered(o.words('v'))} END"""
+
+
 @query(
-    f"""WITH t AS (SELECT page_id, {o.TITLE} AS title, {o.html_text('html')} AS body, url, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang FROM pages),
+    f"""WITH t AS (SELECT page_id, {o.TITLE} AS title, {o.html_text('html')} AS body, url, html, lower(regexp_extract(html, '<html lang="([a-z]+)"', 1)) AS lang FROM pages),
     a AS (SELECT *, {o.analyzer_of('lang')} AS analyzer FROM t),
-    f AS (
-      SELECT page_id, analyzer, 'title' AS field, {o.numbered(o.words('title'))} AS ts FROM a
-      UNION ALL SELECT page_id, analyzer, 'body', {o.numbered(o.words('body'))} FROM a
-      UNION ALL SELECT page_id, '', 'title.default', {o.numbered("regexp_extract_all(lower(title), " + o.LETTERS + ")")} FROM a
-      UNION ALL SELECT page_id, '', 'body.default', {o.numbered("regexp_extract_all(lower(body), " + o.LETTERS + ")")} FROM a
-      UNION ALL SELECT page_id, '', 'language', [{{'term': lang, 'position': 0}}] FROM a
-      UNION ALL SELECT page_id, '', 'url', list_filter({o.numbered("list_filter(regexp_split_to_array(lower(url), '[:/?&=.#]+'), lambda z: z <> '')")},
-        lambda z: z.term NOT IN ('http', 'https', 'www')) FROM a),
-    e AS (SELECT page_id, analyzer, field, unnest(ts, recursive := true) FROM f)
-    SELECT field, term, count(*) AS n, CAST(sum("position") AS BIGINT) AS positions FROM e
+    f(page_id, analyzer, field, kind, vs) AS (
+      SELECT page_id, '', 'url', 'url', [url] FROM a
+      UNION ALL SELECT page_id, '', 'raw_url', 'url', [url] FROM a
+      UNION ALL SELECT page_id, '', 'filename', 'filename', [nullif(regexp_extract(url, '^https?://[^/?#]*/([^?#]+)', 1), '')] FROM a
+      UNION ALL SELECT page_id, analyzer, 'title', 'language', [title] FROM a
+      UNION ALL SELECT page_id, '', 'title.default', 'simple', [title] FROM a
+      UNION ALL SELECT page_id, '', 'title.bigram', 'bigram', [title] FROM a
+      UNION ALL SELECT page_id, analyzer, 'body', 'language', [body] FROM a
+      UNION ALL SELECT page_id, '', 'body.default', 'simple', [body] FROM a
+      UNION ALL SELECT page_id, '', 'body.bigram', 'bigram', [body] FROM a
+      UNION ALL SELECT page_id, '', 'media_type', 'keyword', ['text/html'] FROM a
+      UNION ALL SELECT page_id, '', 'charset', 'keyword', [nullif(regexp_extract(html, '<meta charset="([^"]+)"', 1), '')] FROM a
+      UNION ALL SELECT page_id, '', 'language', 'keyword', [lang] FROM a
+      UNION ALL SELECT page_id, analyzer, 'authors', 'language', [split_part(split_part(url, '//', 2), '.', 1)] FROM a
+      UNION ALL SELECT page_id, '', 'misc', 'standard', ['page ' || page_id || ' & more', 'k' || page_id || ', crawl'] FROM a
+      UNION ALL SELECT page_id, '', 'email_addresses', 'email', list_sort(list_distinct(list_concat(regexp_extract_all(html, {o.EMAIL}), regexp_extract_all(body, {o.EMAIL})))) FROM a
+      UNION ALL SELECT page_id, '', 'out_links', 'url', list_sort(list_distinct(list_concat(
+        list_transform(regexp_extract_all({o.hidden('html')}, '<a href="([^"]*)"', 1), lambda h: regexp_extract(url, '^https?://[^/?#]+', 0) || {o.unescape('h')}), {_LINK_TEXT}))) FROM a),
+    v AS (SELECT page_id, analyzer, field, kind, unnest(vs) AS v, generate_subscripts(vs, 1) AS nth FROM f),
+    w AS (SELECT page_id, analyzer, field, nth, {_VALUE_TERMS} AS ts FROM v WHERE v IS NOT NULL),
+    x AS (SELECT *, coalesce(sum(coalesce(list_max(list_transform(ts, lambda z: z.position)), -1) + 101)
+      OVER (PARTITION BY page_id, field ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM w),
+    e AS (SELECT analyzer, field, start, unnest(ts, recursive := true) FROM x)
+    SELECT field, term, count(*) AS n, CAST(sum("position" + start) AS BIGINT) AS positions FROM e
     WHERE (analyzer, term) NOT IN (SELECT analyzer, term FROM {o.values(STOP_WORDS, 'analyzer, term')}) GROUP BY ALL"""
 )
 def index_fields(spark, sf_dir):
-    """Token rows of all index fields in one pass over the pages, summed up by term."""
-    c = F.col("html")
-    pages = d.html_pages(spark, sf_dir).select(
+    """Token rows of all 16 index fields in one pass over the pages, summed up by term."""
+    bodies = d.meta_pages(spark, sf_dir).select(
         F.col("page_id").alias("id"),
         F.lit(0).alias("part"),
-        html.title(c).alias("title"),
-        html.html_text(c).alias("body"),
         F.array("url").alias("url"),
-        F.array(html.html_language(c)).alias("language"),
+        F.array("url").alias("raw_url"),
+        F.array(headers.filename(F.lit(None).cast("string"), F.col("url"))).alias("filename"),
+        F.col("url").alias("base_url"),
+        F.col("html").alias("content"),
+        F.octet_length("html").alias("n_bytes"),
+        F.lit(True).alias("has_body"),
+        F.lit("text/html").alias("header_media_type"),
+        F.lit(None).cast("string").alias("header_charset"),
+        F.lit(None).cast("string").alias("content_length"),
+        F.timestamp_seconds(F.lit(1366200000)).alias("fetched_at"),
     )
+    # Texts are extracted once; three analyzers read them.
+    pages = write_stage(extract.extract(bodies).withColumn("language", F.array("html_language")), "index-fields")
     docs = language.with_analyzer(pages, F.element_at("language", 1), language.analyzer_map(spark))
     stop = fixed_table(spark, STOP_WORDS, "analyzer", "term")
-    rows = terms.index_tokens(docs, stop).filter(~F.col("field").endswith(".bigram"))
+    rows = terms.index_tokens(docs, stop)
     return rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("n"), F.sum("position").alias("positions"))
 
 
