@@ -2,9 +2,11 @@
 
 import re
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import check
 import corpus_pipeline
 from crawlweft.llm.queries import ORACLES, QUERIES
 
@@ -13,14 +15,14 @@ SMALL = entry.SMALL
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_covers_its_table(spark, name):
     rows = QUERIES[name](spark, SMALL).toPandas()
-    key, table = ("page_id", "pages") if name.startswith("op8") else ("doc_id", "documents")
+    key, table = {"op8": ("page_id", "pages"), "op13": ("conv_id", "conversations")}.get(name.split("_")[0], ("doc_id", "documents"))
     assert set(rows[key]) == {r[0] for r in spark.read.parquet(f"{SMALL}/{table}.parquet").select(key).collect()}
     assert name.startswith("op5") or not rows[key].duplicated().any()
 
@@ -45,3 +47,13 @@ def test_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, seen, SMALL)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == set(before)
     assert corpus_pipeline.run(spark, SMALL).count() == packed.count()
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_and_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    got, want = check.normal(QUERIES[name](spark, SMALL).toPandas()), check.normal(con.execute(ORACLES[name]).df())
+    assert list(got.columns) == list(want.columns)
+    assert got.equals(want)
