@@ -4,18 +4,24 @@ Documents are sets of word shingles (tokens); two link when their Jaccard simila
 reaches the threshold.  The join finds all linked documents up to connection:
 
 1. Equal sets form a class; everything below works on one row per class.
-2. Classes are partitioned into groups of similar ones: classes with an equal pair of
-   min-hashes are compared with the first of them, and verified links form the groups.
-3. The matrix stores each group's union of tokens.  A class and a group can only link if
+2. Classes with an equal pair of min-hashes are compared with the first of them; verified
+   links form components.
+3. Classes are partitioned into groups of similar ones: a large component is a group, other
+   classes join those that share their most frequent pair of min-hashes.  Groups are kept
+   in blocks of some `BLOCK` members or `BLOCK_TOKENS` tokens, dealt by hash.
+4. The matrix stores each group's union of tokens.  A class and a group can only link if
    they share `OVERLAP` tokens of their prefixes: the rarest tokens of each set, as many as
    the threshold leaves room for (prefix filter).  So the matrix holds prefix tokens,
    and a token that lies in one group only is dropped at once.
-4. The shared prefix tokens bound the overlap of a class and a group; only groups that
-   reach the bound are opened, and the bound is applied again to their members.  What is
-   left is verified on whole sets.
-
-Links inside a group need no search, so a large group of near copies costs one
-comparison per member; nothing grows with the square of a group.  Rarity comes from a
+5. The shared prefix tokens of two groups bound the overlap of their members; only groups
+   that reach the bound are opened.  For groups of many blocks the bound is applied again
+   to their blocks.  Two opened blocks go to one task, which counts the common tokens of
+   all members at once and returns links as a forest, at most one a member.
+
+Members of a component need no search, so a large group of linked copies costs one comparison
+per member.  Members of a large group that look alike without linking are compared block by
+block: what moves and what comes back is a row per pair of blocks, not per pair of
+documents.  Rarity comes from a
 count sketch of bounded size over all documents.  Any order of the tokens gives right
 results as long as all documents use the same one; the sketch only keeps frequent
 tokens out of the prefixes.
@@ -41,6 +47,10 @@ from crawlweft.operators.staging import scratch_path, write_stage
 WORDS = 5
 THRESHOLD = (80, 100)  # as a fraction, so that it is compared without rounding
 OVERLAP = 3
+BLOCK = 256
+BLOCK_TOKENS = 1 << 18
+#: Bytes of packed blocks that one Arrow batch holds.
+BATCH_BYTES = 32 << 20
 CHUNK = 1 << 16
 MOST_BUCKETS = 1 << 26
 #: Odd factors that turn a token's hash into further hash functions; two make a group key.
@@ -152,11 +162,93 @@ def _sized(a: str, b: str, threshold: tuple[int, int]):
 
 
 def _fetch(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(cls, packed): compressed texts of classes (cls, rep), one each."""
+    """`wanted` (cls, rep and more) with the compressed text, `packed`, of each row that holds a class's first one."""
     source = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("tid"), as_bytes(text, "packed"))
     packed = packed_texts(source, "tid", key_filter(wanted.select("rep.tid")))
-    found = packed.join(wanted, F.col("id").eqNullSafe(F.col("rep.doc_id")) & (F.col("tid") == F.col("rep.tid")))
-    return found.select("cls", "packed").dropDuplicates(["cls"])
+    return packed.join(wanted, F.col("id").eqNullSafe(F.col("rep.doc_id")) & (F.col("tid") == F.col("rep.tid")))
+
+
+def common_tokens(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of `left` shares with each set of `right`, as a matrix."""
+    if len(left) == len(right) == 1:
+        return np.array([[len(np.intersect1d(left[0], right[0], assume_unique=True))]])
+    rows, tokens = (np.concatenate(x) for x in zip(*((np.full(len(t), k), t) for k, t in enumerate([*left, *right])), strict=True))
+    _, column, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    column, rows = column[times[column] > 1], rows[times[column] > 1]
+    order = np.argsort(column, kind="stable")
+    column, rows = column[order], rows[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        here = slice(*np.searchsorted(column, (first, first + 4096)))
+        if here.start < here.stop:
+            _, at = np.unique(column[here], return_inverse=True)
+            has = np.zeros((len(left) + len(right), int(at.max()) + 1), np.float32)
+            has[rows[here], at] = 1
+            out += np.rint(has[: len(left)] @ has[len(left) :].T).astype(np.int64)  # below 2**24, so exact
+    return out
+
+
+def forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (root, node) that connect what a symmetric boolean matrix connects."""
+    names = np.arange(len(adjacent))
+    while True:
+        near = np.minimum(names, np.where(adjacent, names, len(names)).min(axis=1, initial=len(names)))
+        near = near[near]
+        if (near == names).all():
+            return [(int(r), k) for k, r in enumerate(names) if r != k]
+        names = near
+
+
+def open_blocks(pairs: DataFrame, members: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, threshold: tuple[int, int], folder: str, split=spaced_words) -> DataFrame:
+    """Links (a, b) of classes, as forests: one row per member and pair of blocks at most.
+
+    `pairs` (a, b) are blocks to compare, `members` (cls, blk) what they hold; a pair of a
+    block with itself compares its members with one another.
+    """
+    pairs = write_stage(pairs, "far-pairs", folder)
+    opened = pairs.select(F.col("a").alias("blk")).union(pairs.select("b")).distinct()
+    wanted = write_stage(members.join(opened, "blk").join(classes.select("cls", "rep"), "cls"), "far-wanted", folder)
+    texts = _fetch(wanted, docs, doc_id, text).repartition("blk").groupBy("blk", "cls").agg(F.first("packed").alias("packed"))
+    blocks = write_stage(texts.groupBy("blk").agg(F.collect_list(F.struct("cls", "packed")).alias("held")), "far-blocks", folder)
+
+    def linked(batches):
+        import zstandard
+
+        unpack, spans, last = zstandard.ZstdDecompressor().decompress, Spans(), {}
+
+        def tokens(blk, held):
+            """Names and sets of a block; the last few blocks are kept."""
+            if blk not in last:
+                if len(last) > 7:
+                    del last[next(iter(last))]
+                rows = held.as_py()
+                last[blk] = [r["cls"] for r in rows], [_tokens(spans, unpack(r["packed"]), k, split) for r in rows]
+            return last[blk]
+
+        for batch in batches:
+            found = []
+            for a, b, x, y in zip(*batch.columns, strict=True):
+                a, b = a.as_py(), b.as_py()
+                (x_names, x), (y_names, y) = tokens(a, x), tokens(b, y)
+                both = common_tokens(x, y)
+                sizes = np.array([len(t) for t in x])[:, None] + np.array([len(t) for t in y])
+                link = threshold[1] * both >= threshold[0] * (sizes - both)
+                if not link.any():
+                    continue
+                if a == b:
+                    names, adjacent = x_names, link
+                else:
+                    names, n = x_names + y_names, len(x)
+                    adjacent = np.zeros((len(names), len(names)), bool)
+                    adjacent[:n, n:], adjacent[n:, :n] = link, link.T
+                found += [(names[r], names[q]) for r, q in forest(adjacent)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], ["a", "b"])
+
+    sides = pairs.join(blocks.select(F.col("blk").alias("b"), F.col("held").alias("y")), "b").join(blocks.select(F.col("blk").alias("a"), F.col("held").alias("x")), "a")
+    arrow_limits(docs.sparkSession)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return write_stage(sides.select("a", "b", "x", "y").mapInArrow(linked, "a binary, b binary"), "far-links", folder)
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, threshold: tuple[int, int], folder: str, name: str, split=spaced_words) -> DataFrame:
@@ -164,7 +256,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, t
     pairs = write_stage(pairs, f"{name}-pairs", folder)
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes.select("cls", "rep"), "cls")
     wanted = write_stage(wanted, f"{name}-wanted", folder)
-    texts = write_stage(_fetch(wanted, docs, doc_id, text), f"{name}-texts", folder)
+    texts = write_stage(_fetch(wanted, docs, doc_id, text).select("cls", "packed").dropDuplicates(["cls"]), f"{name}-texts", folder)
 
     def linked(batches):
         import zstandard
@@ -217,39 +309,56 @@ def jaccard_components(
 
     # Groups: classes with an equal key are compared with the first of them.
     keyed = classes.select("cls", "n", F.explode("keys").alias("key"))
-    first = keyed.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("first"), F.max("cls").alias("last")).filter("first.cls <> last")
-    near = keyed.join(first.select("key", "first"), "key").filter((F.col("cls") != F.col("first.cls")) & _sized("n", "first.n", threshold))
+    first = keyed.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("first"), F.max("cls").alias("last"), F.count("*").alias("times")).filter("first.cls <> last")
+    keyed = write_stage(keyed.join(first.select("key", "first", "times"), "key"), "keyed", folder)
+    near = keyed.filter((F.col("cls") != F.col("first.cls")) & _sized("n", "first.n", threshold))
     near = near.select(F.col("cls").alias("a"), F.col("first.cls").alias("b")).distinct()
     links = verify(near, classes, docs, doc_id, text, words, threshold, folder, "near", split)
     grouped = components(links, f"{folder}/groups")
 
-    # The token-group matrix, of prefix tokens that lie in several groups.
+    # Groups: large components, else the classes that share their most frequent key; then blocks of them.
+    # Only narrow rows of classes that share a key take part; any other class is a group of its own.
     sizes = grouped.groupBy("component").agg(F.count("*").alias("size"))
-    groups = grouped.join(sizes, "component").select(F.col("node").alias("cls"), "component", "size")
-    # Only tokens and hashes go through the two large shuffles; the rest of a class joins what is left.
-    info = classes.join(groups, "cls", "left").select(
-        F.xxhash64("cls").alias("q"),
-        F.col("n").cast("int").alias("n"),
-        F.xxhash64(F.coalesce("component", "cls")).alias("grp"),
-        F.coalesce("size", F.lit(1)).cast("int").alias("size"),
-        "prefix",
-    )
-    info = write_stage(info, "info", folder)
-    shared = info.select("grp", F.explode("prefix").alias("token")).groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low <> high").select("token")
-    held = info.select("q", F.explode("prefix").alias("token")).join(shared, "token")
-    entries = write_stage(held.join(info.select("q", "n", "grp", "size").distinct(), "q"), "entries", folder)
-    matrix = entries.select("token", F.col("grp").alias("g"), F.col("size").alias("g_size")).distinct()
+    linked = grouped.join(sizes, "component").select(F.col("node").alias("cls"), F.xxhash64("component").alias("comp"), (F.col("size") >= BLOCK).alias("wide"))
+    usual = keyed.groupBy("cls").agg(F.first("n").alias("n"), F.max(F.struct("times", "key")).alias("usual"))
+    placed = usual.join(linked, "cls", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
+    placed = placed.withColumn("of", F.when(F.col("wide"), F.col("comp")).otherwise(F.xxhash64("usual.key", F.lit(1))))
+    placed = write_stage(placed.drop("usual"), "placed", folder)
+    parts = placed.groupBy("of").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_TOKENS)).alias("parts"))
+    blk = F.xxhash64("of", F.pmod(F.xxhash64("cls"), "parts"))
+    placed = placed.join(parts, "of").withColumn("blk", blk).select("cls", "comp", "wide", "blk", F.when(F.col("wide"), F.col("of")).otherwise(F.col("blk")).alias("grp"))
     # A partner's set has at least threshold * n tokens, so this overlap of prefixes is sure.
     bound = F.greatest(F.lit(1), F.least(F.lit(OVERLAP), F.floor(F.col("n") * threshold[0] ** 2 / threshold[1] ** 2))).cast("int")
-    smaller = (F.col("size") < F.col("g_size")) | ((F.col("size") == F.col("g_size")) & (F.col("grp") < F.col("g")))
-    opened = entries.withColumn("bound", bound).join(matrix, "token").filter(smaller).groupBy("q", "g").agg(F.count("*").alias("overlap"), F.first("bound").alias("bound"))
-    opened = opened.filter("overlap >= bound").select("q", "g", "bound")
-    members = entries.select("token", F.col("grp").alias("g"), F.col("q").alias("m"), F.col("n").alias("m_n"))
-    pairs = entries.select("token", "q", "n").join(opened, "q").join(members, ["token", "g"]).filter(_sized("n", "m_n", threshold))
-    pairs = pairs.groupBy("q", "m").agg(F.count("*").alias("overlap"), F.first("bound").alias("bound")).filter("overlap >= bound")
-    named = classes.select("cls", F.xxhash64("cls").alias("h"))
-    pairs = pairs.join(named.select(F.col("cls").alias("a"), F.col("h").alias("q")), "q").join(named.select(F.col("cls").alias("b"), F.col("h").alias("m")), "m")
-    more = verify(pairs.select("a", "b"), classes, docs, doc_id, text, words, threshold, folder, "far", split)
+    alone = F.xxhash64("cls")
+    info = classes.select("cls", "n", "prefix").join(placed, "cls", "left")
+    info = info.select("cls", "n", "prefix", "comp", bound.alias("bound"), F.coalesce("wide", F.lit(False)).alias("wide"), F.coalesce("blk", alone).alias("blk"), F.coalesce("grp", alone).alias("grp"))
+    info = write_stage(info, "info", folder)
+
+    # The token-group matrix, of prefix tokens that lie in several groups.  Only hashes go through its two large shuffles.
+    tokens = info.select("grp", "blk", F.explode("prefix").alias("token"))
+    shared = tokens.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low <> high").select("token")
+    held = tokens.select("blk", "token").join(shared, "token").distinct()
+    blocks = info.groupBy("blk").agg(F.first("grp").alias("grp"), F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.min("bound").alias("bound"), F.first("wide").alias("wide"), F.count("*").alias("size"), ((F.count("comp") == F.count("*")) & (F.min("comp") == F.max("comp"))).alias("done"))
+    blocks = write_stage(blocks, "blocks", folder)
+    entries = write_stage(held.join(blocks.drop("size", "done"), "blk"), "entries", folder)
+    matrix = entries.groupBy("token", "grp").agg(F.min("least_n").alias("least_n"), F.max("most_n").alias("most_n"), F.min("bound").alias("bound"), F.first("wide").alias("wide"))
+    matrix = write_stage(matrix, "matrix", folder)
+
+    def meet(x: DataFrame, y: DataFrame, on: list[str], names: tuple[str, str]) -> DataFrame:
+        """Pairs of rows with enough tokens in common, whose sizes can reach the threshold."""
+        y = y.select(*on, F.col(names[1]).alias("b"), F.col("least_n").alias("b_least"), F.col("most_n").alias("b_most"), F.col("bound").alias("b_bound"), F.col("wide").alias("b_wide"))
+        fits = (F.col("most_n") * threshold[1] >= F.col("b_least") * threshold[0]) & (F.col("b_most") * threshold[1] >= F.col("least_n") * threshold[0])
+        met = x.withColumnRenamed(names[0], "a").join(y, on).filter(fits & (F.col("a") < F.col("b")) if len(on) == 1 else fits)
+        need = F.min(F.greatest("bound", "b_bound")).alias("need")
+        return met.groupBy("a", "b").agg(F.count("*").alias("overlap"), need, F.first(F.col("wide") | F.col("b_wide")).alias("wide")).filter("overlap >= need")
+
+    opened = write_stage(meet(matrix, matrix, ["token"], ("grp", "grp")).select("a", "b", "wide"), "opened", folder)
+    # Groups of many blocks: the bound again, for their blocks.
+    many = opened.filter("wide").select(F.col("a").alias("grp"), F.col("b").alias("with"))
+    some = meet(entries.join(many, "grp"), entries.withColumnRenamed("grp", "with"), ["token", "with"], ("blk", "blk"))
+    own = blocks.filter("not wide and size > 1 and not done").select(F.col("blk").alias("a"), F.col("blk").alias("b"))
+    pairs = opened.filter("not wide").select("a", "b").unionByName(some.select("a", "b")).unionByName(own)
+    more = open_blocks(pairs, info.select("cls", "blk"), classes, docs, doc_id, text, words, threshold, folder, split)
 
     whole = components(links.unionByName(more), f"{folder}/components")
     member = classes.select("cls", F.col("rep.doc_id").alias("first_id")).join(whole.select(F.col("node").alias("cls"), "component"), "cls", "left")
