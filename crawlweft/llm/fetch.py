@@ -28,10 +28,15 @@ def key_filter(keys: DataFrame) -> Broadcast:
     """The filter over the one column of `keys`, as words of 64 bits; at most `2 ** FILTER_BITS` bits reach the driver."""
     key = F.col(keys.columns[0])
     spots = keys.select(F.explode(F.array(*(_spot(key, k) for k in range(_HASHES)))).alias("at"))
+    return bit_table(spots)
+
+
+def bit_table(spots: DataFrame) -> Broadcast:
+    """Bits set at the places in the column `at`, as words of 64 bits; at most `2 ** FILTER_BITS` bits reach the driver."""
     words = spots.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("bits")).toPandas()
     bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
     bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    return keys.sparkSession.sparkContext.broadcast(bits)
+    return spots.sparkSession.sparkContext.broadcast(bits)
 
 
 def spots(key: str) -> list[Column]:

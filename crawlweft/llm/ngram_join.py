@@ -29,6 +29,7 @@ tokens out of the prefixes.
 
 from __future__ import annotations
 
+import math
 import zlib
 from functools import lru_cache
 
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlweft.llm.components import components
-from crawlweft.llm.fetch import key_filter, packed_texts
+from crawlweft.llm.fetch import FILTER_BITS, bit_table, key_filter, packed_texts
 from crawlweft.llm.texts import Spans, arrow_limits, as_bytes, map_rows, spaced_words
 from crawlweft.operators.staging import scratch_path, write_stage
 
@@ -71,11 +72,19 @@ def rarity(docs: DataFrame, text: str, k: int, split=spaced_words) -> np.ndarray
 
     All tokens of all documents are counted.  There is a bucket for about eight tokens,
     up to `MOST_BUCKETS`, so the result has at most that many bytes.  Tasks count in an
-    array and send it in compressed chunks, which are added in two steps.
+    array and send it in compressed chunks, which are added in two steps; the first step has
+    more groups where there are more tasks, so that neither step gathers many chunks.
     """
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     buckets = min(MOST_BUCKETS, max(CHUNK, 1 << int(size // 56).bit_length()))
     mask = np.uint64(buckets - 1)
+    salts = 4 + math.isqrt(size >> 27)
+
+    def pack(counts):
+        return zlib.compress(counts.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)  # small counts have seven empty bytes
+
+    def unpack(data):
+        return np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
 
     def count(batches):
         spans, total = Spans(), np.zeros(buckets, np.uint32)
@@ -94,10 +103,10 @@ def rarity(docs: DataFrame, text: str, k: int, split=spaced_words) -> np.ndarray
                     held, size = [], 0
             if held:
                 add(held)
-        salt = TaskContext.get().partitionId() % 256
+        salt = TaskContext.get().partitionId() % salts
         for at in range(0, buckets, CHUNK):
             if total[at : at + CHUNK].any():
-                data = zlib.compress(total[at : at + CHUNK].astype(np.uint64).tobytes(), 1)
+                data = pack(total[at : at + CHUNK])
                 yield pa.RecordBatch.from_pydict({"chunk": [at // CHUNK], "salt": [salt], "data": [data]}, schema)
 
     schema = pa.schema([("chunk", pa.int32()), ("salt", pa.int32()), ("data", pa.binary())])
@@ -105,11 +114,11 @@ def rarity(docs: DataFrame, text: str, k: int, split=spaced_words) -> np.ndarray
     def summed(rows):
         out = np.zeros(CHUNK, np.uint64)
         for data in rows["data"]:
-            out += np.frombuffer(zlib.decompress(data), np.uint64)
+            out += unpack(data)
         return out
 
     def add_up(rows):
-        return rows[:1].assign(data=[zlib.compress(summed(rows).tobytes(), 1)])
+        return rows[:1].assign(data=[pack(summed(rows))])
 
     def levels(rows):
         counts = summed(rows)
@@ -251,6 +260,30 @@ def open_blocks(pairs: DataFrame, members: DataFrame, classes: DataFrame, docs:
     return write_stage(sides.select("a", "b", "x", "y").mapInArrow(linked, "a binary, b binary"), "far-links", folder)
 
 
+def _only_shared(prefixes: DataFrame, shared: DataFrame) -> DataFrame:
+    """(blk, token): the tokens of `prefixes` (blk, prefix) without most of those that are not in `shared`.
+
+    Tokens are hashes, so two runs of their bits are their places in a bit table of fixed
+    size.  The table may let a token pass that is not shared, so a join must follow.
+    """
+    mask = (1 << FILTER_BITS) - 1
+    spots = F.array(F.col("token").bitwiseAND(mask), F.shiftrightunsigned("token", FILTER_BITS).bitwiseAND(mask))
+    bits = bit_table(shared.select(F.explode(spots).alias("at")))
+
+    def keep(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            tokens = lists.flatten().to_numpy()
+            blks = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+            found = np.ones(len(tokens), bool)
+            for at in (tokens & mask, tokens >> FILTER_BITS & mask):
+                found &= (bits.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+            yield pa.RecordBatch.from_arrays([pa.array(blks[found]), pa.array(tokens[found])], ["blk", "token"])
+
+    arrow_limits(prefixes.sparkSession)
+    return prefixes.mapInArrow(keep, "blk long, token long")
+
+
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, threshold: tuple[int, int], folder: str, name: str, split=spaced_words) -> DataFrame:
     """Those pairs (a, b) of classes whose whole sets reach the threshold, as a stage."""
     pairs = write_stage(pairs, f"{name}-pairs", folder)
@@ -303,7 +336,6 @@ def jaccard_components(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("rep"),
         F.first("n").alias("n"),
         F.first("keys").alias("keys"),
-        F.first("prefix").alias("prefix"),
     )
     classes = write_stage(classes, "classes", folder)
 
@@ -330,14 +362,18 @@ def jaccard_components(
     # A partner's set has at least threshold * n tokens, so this overlap of prefixes is sure.
     bound = F.greatest(F.lit(1), F.least(F.lit(OVERLAP), F.floor(F.col("n") * threshold[0] ** 2 / threshold[1] ** 2))).cast("int")
     alone = F.xxhash64("cls")
-    info = classes.select("cls", "n", "prefix").join(placed, "cls", "left")
-    info = info.select("cls", "n", "prefix", "comp", bound.alias("bound"), F.coalesce("wide", F.lit(False)).alias("wide"), F.coalesce("blk", alone).alias("blk"), F.coalesce("grp", alone).alias("grp"))
+    info = classes.select("cls", "n", "rep").join(placed, "cls", "left")
+    info = info.select("cls", "n", "rep", "comp", bound.alias("bound"), F.coalesce("wide", F.lit(False)).alias("wide"), F.coalesce("blk", alone).alias("blk"), F.coalesce("grp", alone).alias("grp"))
     info = write_stage(info, "info", folder)
+    # The prefixes move once, spread by the document that stands for its class.
+    reps = info.select(F.col("cls").alias("r_cls"), F.col("rep.doc_id").alias("r_id"), F.col("rep.tid").alias("r_tid"), "blk", "grp")
+    prefixes = told.join(reps, (F.col("cls") == F.col("r_cls")) & F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("tid") == F.col("r_tid")))
+    prefixes = write_stage(prefixes.select("grp", "blk", "prefix"), "prefixes", folder)
 
     # The token-group matrix, of prefix tokens that lie in several groups.  Only hashes go through its two large shuffles.
-    tokens = info.select("grp", "blk", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low <> high").select("token")
-    held = tokens.select("blk", "token").join(shared, "token").distinct()
+    shared = prefixes.select("grp", F.explode("prefix").alias("token")).groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low <> high").select("token")
+    shared = write_stage(shared, "shared", folder)
+    held = _only_shared(prefixes.select("blk", "prefix"), shared).join(shared, "token").distinct()
     blocks = info.groupBy("blk").agg(F.first("grp").alias("grp"), F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.min("bound").alias("bound"), F.first("wide").alias("wide"), F.count("*").alias("size"), ((F.count("comp") == F.count("*")) & (F.min("comp") == F.max("comp"))).alias("done"))
     blocks = write_stage(blocks, "blocks", folder)
     entries = write_stage(held.join(blocks.drop("size", "done"), "blk"), "entries", folder)
