@@ -4,6 +4,8 @@ Positions count words, so grams of one word share its position and dropped stop
 words leave a gap.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,9 +23,19 @@ def runs(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def has_unspaced(text: Column) -> Column:
+    """Whether a text holds script without blanks; texts without any character that high are told by one range."""
+    return text.rlike(r"[\x{E00}-\x{10FFFF}]") & text.rlike(UNSPACED)
+
+
 def words(text: Column) -> Column:
     """Standard words, lower-cased; single characters of scripts without blanks."""
-    return runs(F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text))
+    return runs(F.when(has_unspaced(text), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _numbered(terms: Column) -> Column:
@@ -67,10 +79,13 @@ def character_bigram(text: Column) -> Column:
 def word_bigram(text: Column) -> Column:
     """Pairs of neighbouring words, each cut to five characters."""
     cut = F.transform(words(text), lambda w: F.substring(w, 1, 5))
-    none = F.expr("cast(array() as array<string>)")
-    tail = F.when(F.size(cut) > 1, F.slice(cut, F.lit(2), F.size(cut))).otherwise(none)
-    pairs = F.zip_with(cut, tail, lambda a, b: F.concat_ws(" ", a, b))
-    return _numbered(F.when(F.size(cut) > 1, F.slice(pairs, F.lit(1), F.size(cut) - 1)).otherwise(none))
+
+    def pairs(c: Column) -> Column:
+        after = F.slice(c, F.lit(2), F.greatest(F.size(c) - 1, F.lit(0)))
+        return F.transform(after, lambda w, i: F.struct(F.concat_ws(" ", F.get(c, i), w).alias("term"), i.alias("position")))
+
+    none = F.expr("cast(array() as array<struct<term: string, position: int>>)")
+    return F.coalesce(_let(cut, pairs), none)
 
 
 def simple(text: Column) -> Column:

@@ -239,3 +239,13 @@ def pairs(rows):
 )
 def test_analyzers(value, analyzer, text, expected):
     assert pairs(value(tokens.ANALYZERS[analyzer](X), x=text)) == expected
+
+
+def test_word_pairs_cut_the_text_once(spark):
+    plan = spark.range(1).select(F.col("id").cast("string").alias("x")).select(tokens.word_bigram(F.col("x")).alias("q"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_scripts_without_blanks_are_found_in_high_characters(value):
+    for text, found in (("größer ação", "false"), ("a 東", "true"), ("ไทย", "true"), ("カ", "true"), ("Ω я € 한", "false"), ("", "false")):
+        assert value(tokens.has_unspaced(X).cast("string"), x=text) == found, text
