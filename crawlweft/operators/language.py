@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweft.functions.tokens import LETTERS
-from crawlweft.operators.staging import broadcast_if_small, write_stage
+from crawlweft.operators.staging import BROADCAST_ROWS, broadcast_if_small, write_stage
 from crawlweft.sources.lists import fixed_table
 
 # Smoothing added to every probability.
@@ -45,14 +45,14 @@ def _packed(codes: list[str]) -> str:
     return " | ".join(f"shiftleft({c}, {21 * (len(codes) - 1 - i)})" for i, c in enumerate(codes))
 
 
-def _gram_keys(words: DataFrame, *keep: str) -> DataFrame:
-    """Rows (*keep, g1, g2, g3): packed n-grams that begin at each place, null where there is none."""
+def _keys_at(places: DataFrame, *keep: str) -> DataFrame:
+    """Rows (*keep, g1, g2, g3): packed n-grams that begin at place `i` of word `w`, null where there is none or `i` is 0."""
     codes = [F.expr(f"cast(ascii(substring(w, i + {at}, 1)) AS bigint)").alias(f"c{at}") for at in range(3)]
-    return _places(words, *keep).select(*keep, "i", F.length("w").alias("size"), *codes).select(
+    return places.select(*keep, "i", F.length("w").alias("size"), *codes).select(
         *keep,
-        F.expr("CASE WHEN c0 <> ascii(' ') THEN c0 END").alias("g1"),
-        F.expr(f"CASE WHEN i + 1 <= size THEN {_packed(['c0', 'c1'])} END").alias("g2"),
-        F.expr(f"CASE WHEN i + 2 <= size THEN {_packed(['c0', 'c1', 'c2'])} END").alias("g3"),
+        F.expr("CASE WHEN i > 0 AND c0 <> ascii(' ') THEN c0 END").alias("g1"),
+        F.expr(f"CASE WHEN i > 0 AND i + 1 <= size THEN {_packed(['c0', 'c1'])} END").alias("g2"),
+        F.expr(f"CASE WHEN i > 0 AND i + 2 <= size THEN {_packed(['c0', 'c1', 'c2'])} END").alias("g3"),
     )
 
 
@@ -110,6 +110,39 @@ def languages_of(profiles: DataFrame) -> list[str]:
     return [r.lang for r in rows]
 
 
+# Weight of the n-grams that begin at one place, and whether any of them is in a profile.
+_SUM = "coalesce(w1[{i}], 0D) + coalesce(w2[{i}], 0D) + coalesce(w3[{i}], 0D)"
+_KNOWN = "w1 IS NOT NULL OR w2 IS NOT NULL OR w3 IS NOT NULL"
+
+
+def _weighed(grams: DataFrame, weights: list[DataFrame]) -> DataFrame:
+    """Add the weights w1, w2, w3 of the n-grams g1, g2, g3."""
+    for n, table in enumerate(weights, 1):
+        grams = grams.join(table, f"g{n}", "left")
+    return grams
+
+
+# A word is looked up whole when it is seen this often.
+OFTEN = 8
+
+
+def _frequent_words(words: DataFrame, max_rows: int) -> DataFrame | None:
+    """(w): the words seen most often, at most `max_rows`, cut at a power of two of their counts; None without any."""
+    counts = write_stage(words.groupBy("w").agg(F.count(F.lit(1)).alias("seen")), "words")
+    sizes = counts.agg(*[F.count(F.when(F.col("seen") >= OFTEN << b, 1)) for b in range(40)]).first()
+    least, n = next((OFTEN << b, n) for b, n in enumerate(sizes) if n <= max_rows)
+    return counts.filter(F.col("seen") >= least).select("w") if n else None
+
+
+def _word_sums(words: DataFrame, weights: list[DataFrame], languages: list[str]) -> DataFrame:
+    """(w, s, s_known): the summed weights of each word's n-grams, and whether any is in a profile."""
+    grams = _keys_at(_places(words), "w")
+    return _weighed(grams, weights).groupBy("w").agg(
+        F.array(*[F.expr(f"sum({_SUM.format(i=i)})") for i in range(len(languages))]).alias("s"),
+        F.expr(f"bool_or({_KNOWN})").alias("s_known"),
+    )
+
+
 def detect(
     documents: DataFrame, profiles: DataFrame, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -117,23 +150,30 @@ def detect(
 
     Documents with no n-gram of any profile are absent.  Ties go to the first
     code.  The weights are broadcast after counting them; a document's n-grams
-    meet them inside its scan task, one row per place in the text, and collapse
-    to one row of partial sums before the shuffle.  `profiles` should be a stage
+    meet them inside its scan task and collapse to one row of partial sums before
+    the shuffle.  Frequent words are summed up once and looked up whole; the
+    others take one row per place in the word.  `profiles` should be a stage
     or a file, as it is read more than once.
     """
     languages = languages_of(profiles)
-    grams = _gram_keys(_words(documents, key, text=text), key)
     max_rows = MAX_WEIGHT_BYTES // (64 + 8 * len(languages))
-    for n in (1, 2, 3):
-        grams = grams.join(broadcast_if_small(_weights(profiles, languages, n), max_rows), f"g{n}", "left")
+    weights = [broadcast_if_small(_weights(profiles, languages, n), max_rows) for n in (1, 2, 3)]
+    words = _words(documents, key, text=text)
+    frequent = _frequent_words(words, min(BROADCAST_ROWS, max_rows))
+    places = F.sequence(F.lit(1), F.length("w"))
+    if frequent is None:
+        words = words.withColumn("s", F.lit(None).cast("array<double>")).withColumn("s_known", F.lit(None).cast("boolean"))
+    else:
+        words = words.join(broadcast_if_small(write_stage(_word_sums(frequent, weights, languages), "word-sums")), "w", "left")
+        # A word that was looked up has no places left: its one row meets no weight.
+        places = F.when(F.col("s").isNull(), places).otherwise(F.array(F.lit(0)))
+    grams = _keys_at(words.select(key, "w", "s", "s_known", F.explode(places).alias("i")), key, "s", "s_known")
     scores = (
-        grams.groupBy(key)
+        _weighed(grams, weights)
+        .groupBy(key)
         .agg(
-            *[
-                F.expr(f"sum(coalesce(w1[{i}], 0D) + coalesce(w2[{i}], 0D) + coalesce(w3[{i}], 0D)) AS s{i}")
-                for i in range(len(languages))
-            ],
-            F.expr("bool_or(w1 IS NOT NULL OR w2 IS NOT NULL OR w3 IS NOT NULL) AS known"),
+            *[F.expr(f"sum(CASE WHEN s IS NOT NULL THEN s[{i}] ELSE {_SUM.format(i=i)} END) AS s{i}") for i in range(len(languages))],
+            F.expr(f"bool_or(coalesce(s_known, {_KNOWN})) AS known"),
         )
         .filter("known")
     )

@@ -167,6 +167,16 @@ def test_detection_without_broadcast_agrees(spark, monkeypatch):
     assert sorted(map(tuple, merged.collect())) == want
 
 
+def test_detection_looks_frequent_words_up_whole(spark, monkeypatch):
+    docs = spark.createDataFrame([*TEXTS, (9, None, "der die das the der die das"), (9, None, "and the")], "doc_id long, lang string, text string")
+    profiles = write_stage(language.train_profiles(docs), "profiles")
+    want = sorted(map(tuple, language.detect(docs, profiles).collect()))
+    monkeypatch.setattr(language, "OFTEN", 2)
+    found = language.detect(docs, profiles)
+    assert found._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 4  # one by word
+    assert sorted(map(tuple, found.collect())) == want
+
+
 def test_detection_does_not_shuffle_ngrams(spark):
     docs = spark.createDataFrame(TEXTS, "doc_id long, lang string, text string")
     profiles = write_stage(language.train_profiles(docs), "profiles")
