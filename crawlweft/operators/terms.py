@@ -136,17 +136,82 @@ def index_tokens(documents: DataFrame, stop_words: DataFrame, key: str = "id") -
     return drop_stop_words(rows, stop_words).select(key, "part", "field", "term", "position")
 
 
+def _by_repeats(documents: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Documents whose key no other document has, and the others; only keys move.  A null key counts as repeated."""
+    repeated = documents.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(key).alias("_repeated"))
+    repeated = broadcast_if_small(repeated.filter(F.col("_repeated").isNotNull()))
+    named = documents.filter(F.col(key).isNotNull())
+    same = F.col(key) == F.col("_repeated")
+    again = named.join(repeated, same, "left_semi").unionByName(documents.filter(F.col(key).isNull()))
+    return named.join(repeated, same, "left_anti"), again
+
+
+#: Pieces of a text whose lengths are summed up at a time.
+_CHUNK = 64
+
+
+def _running_sums(sizes: Column) -> Column:
+    """Sums of the values up to and with each one: within chunks first, so that long arrays are not copied for each value."""
+    none = F.expr("cast(array() as array<int>)")
+
+    def sums(values: Column, start: Column) -> Column:
+        last = lambda acc: F.coalesce(F.try_element_at(acc, F.lit(-1)), start)
+        return F.aggregate(values, none, lambda acc, x: F.concat(acc, F.array(last(acc) + x)))
+
+    def chunked(x: Column) -> Column:
+        at = F.when(F.size(x) > 0, F.sequence(F.lit(1), F.size(x), F.lit(_CHUNK))).otherwise(none)
+        parts = F.transform(at, lambda i: sums(F.slice(x, i, F.lit(_CHUNK)), F.lit(0)))
+        return _let(parts, lambda p: _let(sums(F.transform(p, lambda c: F.element_at(c, -1)), F.lit(0)), lambda ends: F.flatten(
+            F.transform(p, lambda c, i: F.transform(c, lambda v: v + F.when(i > 0, F.get(ends, i - 1)).otherwise(0))))))
+
+    return _let(sizes, chunked)
+
+
+def _let(value: Column, use) -> Column:
+    """`use(value)` with `value` computed once, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+_PIECE = rf"{tokens.WORD}|[^\p{{L}}\p{{M}}\p{{N}}]+"
+_IS_WORD = rf"^{tokens.WORD}"
+
+
 def term_vectors(documents: DataFrame, key: str, field: str, column: str) -> DataFrame:
     """(key, field, term, position, start_offset, end_offset) of standard words.
 
     The text is cut into alternating words and gaps whose running length gives
-    the offsets.  Documents are partitioned by key while still whole, which is
-    the cheaper shuffle; the window then needs none.
+    the offsets, inside the document's row; nothing of it moves.  Documents that
+    share a key count as one text: they are partitioned by key while still whole,
+    and a window runs over their pieces.
     """
-    piece = F.regexp_extract_all(F.col(column), F.lit(rf"{tokens.WORD}|[^\p{{L}}\p{{M}}\p{{N}}]+"), F.lit(0))
-    pieces = documents.select(key, column).repartition(key).select(key, F.posexplode(piece).alias("at", "piece"))
+    rows = documents.select(key, column)
+    once, again = _by_repeats(rows, key)
+    pieces = once.select(key, F.regexp_extract_all(F.col(column), F.lit(_PIECE), F.lit(0)).alias("pieces"))
+    ends = pieces.select(key, "pieces", _running_sums(F.transform("pieces", F.length)).alias("ends"))
+    # Words and gaps take turns, so the first piece tells which of them are words.
+    first = F.when(F.get("pieces", F.lit(0)).rlike(_IS_WORD), 0).otherwise(1)
+    found = (
+        ends.select(key, first.alias("first"), F.posexplode(F.arrays_zip("pieces", "ends")).alias("at", "e"))
+        .filter(F.col("at") % 2 == F.col("first"))
+        .select(key, F.col("e.pieces").alias("piece"), F.floor(F.col("at") / 2).cast("bigint").alias("position"), F.col("e.ends").cast("bigint").alias("end_offset"))
+    )
+    shown = found.unionByName(_pieces_of_repeated(again, key, column))
+    return shown.select(
+        key,
+        F.lit(field).alias("field"),
+        F.lower("piece").alias("term"),
+        "position",
+        (F.col("end_offset") - F.length("piece")).alias("start_offset"),
+        "end_offset",
+    )
+
+
+def _pieces_of_repeated(documents: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, piece, position, end_offset) of the words of documents that may share a key."""
+    piece = F.regexp_extract_all(F.col(column), F.lit(_PIECE), F.lit(0))
+    pieces = documents.repartition(key).select(key, F.posexplode(piece).alias("at", "piece"))
     so_far = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    is_word = F.col("piece").rlike(rf"^{tokens.WORD}")
+    is_word = F.col("piece").rlike(_IS_WORD)
     return (
         pieces.withColumns(
             {
@@ -155,14 +220,7 @@ def term_vectors(documents: DataFrame, key: str, field: str, column: str) -> Dat
             }
         )
         .filter(is_word)
-        .select(
-            key,
-            F.lit(field).alias("field"),
-            F.lower("piece").alias("term"),
-            "position",
-            (F.col("end_offset") - F.length("piece")).alias("start_offset"),
-            "end_offset",
-        )
+        .select(key, "piece", "position", "end_offset")
     )
 
 

@@ -242,6 +242,20 @@ def test_term_vectors_against_brute_force(spark):
     assert got == want
 
 
+def test_term_vectors_of_long_texts_and_repeated_keys(spark):
+    long = " ".join(f"word{i % 7}, {i}" for i in range(200))
+    rows = [*TOKEN_TEXTS, (5, long), (6, "a b"), (6, "a b"), (7, None), (8, ""), (None, "c, d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = terms.term_vectors(docs, "doc_id", "body", "text")
+    # Only documents that share a key meet a window.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Union") >= 1
+    got = sorted(tuple(r)[2:] for r in found.filter("doc_id = 5").collect())
+    assert got == sorted((m.group(), i, m.start(), m.end()) for i, m in enumerate(re.finditer(r"[^\W_]+", long)))
+    got = sorted(tuple(r)[2:] for r in found.filter("doc_id = 6").collect())  # the pieces of both, by place
+    assert got == [("a", 0, 0, 1), ("a", 1, 1, 2), ("b", 2, 4, 5), ("b", 3, 5, 6)]
+    assert [tuple(r)[2:] for r in found.filter("doc_id IS NULL").orderBy("position").collect()] == [("c", 0, 0, 1), ("d", 1, 3, 4)]
+
+
 def test_postings_and_dictionary(spark):
     docs = spark.createDataFrame(TOKEN_TEXTS, "id long, text string")
     tokens = terms.tokenize(docs.repartition(3, "id"), "id", "body", "text", "standard")
