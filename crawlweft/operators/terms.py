@@ -237,6 +237,39 @@ def postings(token_rows: DataFrame, *key: str) -> DataFrame:
     )
 
 
+def document_postings(documents: DataFrame, key: str, field: str, column: str, analyzer: str) -> DataFrame:
+    """As `postings` of the tokens of one text column, grouped inside each document's row, so that no token moves.
+
+    Only documents that share a key are partitioned by it, and their tokens grouped across rows.
+    """
+    once, again = _by_repeats(documents.select(key, column), key)
+    found = once.select(key, F.array_sort(tokens.ANALYZERS[analyzer](F.col(column))).alias("t"))
+
+    def grouped(t: Column) -> Column:
+        none = F.expr("cast(array() as array<int>)")
+        places = F.when(F.size(t) > 0, F.sequence(F.lit(0), F.size(t) - 1)).otherwise(none)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(t, i)["term"] != F.get(t, i - 1)["term"]))
+
+        def entry(s: Column) -> Column:
+            size = lambda at, i: F.coalesce(F.get(s, i + 1), F.size(t)) - at
+            return F.transform(
+                s,
+                lambda at, i: F.struct(
+                    F.get(t, at)["term"].alias("term"),
+                    size(at, i).cast("bigint").alias("tf"),
+                    F.transform(F.slice(t, at + 1, size(at, i)), lambda x: x["position"]).alias("positions"),
+                ),
+            )
+
+        return _let(starts, entry)
+
+    rows = found.select(key, F.explode(_let(F.col("t"), grouped)).alias("e")).select(
+        key, F.lit(field).alias("field"), "e.term", "e.tf", "e.positions"
+    )
+    others = postings(tokenize(again.repartition(key), key, field, column, analyzer), key)
+    return rows.unionByName(others.select(*rows.columns))
+
+
 def count_terms(documents: DataFrame, field: str, column: str, analyzer: str) -> DataFrame:
     """(field, term, df, cf) straight from whole texts, which do not move: only terms do, combined first."""
     found = F.transform(tokens.ANALYZERS[analyzer](F.col(column)), lambda t: t["term"])

@@ -256,6 +256,18 @@ def test_term_vectors_of_long_texts_and_repeated_keys(spark):
     assert [tuple(r)[2:] for r in found.filter("doc_id IS NULL").orderBy("position").collect()] == [("c", 0, 0, 1), ("d", 1, 3, 4)]
 
 
+def test_document_postings_agree_with_grouped_tokens(spark):
+    rows = [*TOKEN_TEXTS, (6, "a b a"), (6, "b a"), (7, None), (8, ""), (None, "c d c"), (None, "c")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    want = terms.postings(terms.tokenize(docs, "id", "body", "text", "standard"), "id")
+    got = terms.document_postings(docs, "id", "body", "text", "standard")
+    key = lambda r: (str(r[0]), r[2])
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    # Tokens of documents with keys of their own are grouped in their row: only the others meet an aggregate.
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("collect_list(position") == 1
+
+
 def test_postings_and_dictionary(spark):
     docs = spark.createDataFrame(TOKEN_TEXTS, "id long, text string")
     tokens = terms.tokenize(docs.repartition(3, "id"), "id", "body", "text", "standard")
