@@ -10,7 +10,6 @@ from crawlweft.functions import tokens
 # Languages written without blanks between words (fixed values): their features
 # are pairs of neighbouring characters.
 UNSPACED = ("ja", "th", "zh")
-UNSPACED_SCRIPT = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]"
 
 
 def fast_hash(word: Column) -> Column:
@@ -19,12 +18,7 @@ def fast_hash(word: Column) -> Column:
 
 def md5_hash(word: Column) -> Column:
     """Upper 64 bits of the MD5 digest; slower, but any SQL engine can compute it."""
-    digest = F.md5(word)
-
-    def half(start: int) -> Column:
-        return F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
-
-    return F.shiftleft(half(1), 32).bitwiseOR(half(9))
+    return F.conv(F.substring(F.md5(word), 1, 16), 16, -10).cast("bigint")
 
 
 def character_pairs(text: Column) -> Column:
@@ -82,7 +76,7 @@ def similarity_hash_by_language(
     language.
     """
     by_word = similarity_hash(documents, key, text, tokens.runs, word_hash)
-    unspaced = documents.filter(F.col(text).rlike(UNSPACED_SCRIPT))
+    unspaced = documents.filter(tokens.has_unspaced(F.col(text)))
     by_pair = similarity_hash(unspaced, key, text, character_pairs, word_hash).withColumnRenamed(
         "similarity_hash_digest", "_pairs"
     )
