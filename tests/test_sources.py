@@ -67,6 +67,17 @@ def test_gzip_and_binary_bodies(spark, tmp_path):
     assert raw.select("content_key", F.decode("bytes", "utf-16").alias("t")).collect() == [("k", "grün")]
 
 
+def test_gzip_bodies_are_written_without_a_folder_for_each_key(spark, tmp_path):
+    rows = [(f"k{i}", f"text {i}".encode()) for i in range(600)] + [("k1", b"more"), (None, b"x"), ("none", None)]
+    path = f"{tmp_path}/gz"
+    bodies.write_gzip_bodies(spark.createDataFrame(rows, "k string, v binary").repartition(3, "k"), path)
+    assert len(os.listdir(path)) <= bodies.FOLDERS
+    read = bodies.read_gzip_bodies(spark, path).select(F.regexp_extract("content_key", "/([^/=]+)=", 1).alias("k"), "bytes")
+    got = {r["k"]: bytes(r["bytes"]) for r in read.collect()}
+    assert len(got) == 601 and got["k7"] == b"text 7\n" and got["none"] == b"\n"
+    assert sorted(got["k1"].split(b"\n")) == [b"", b"more", b"text 1"]
+
+
 def test_rule_list(spark, tmp_path):
     file = tmp_path / "rules.txt"
     file.write_text("<> note\n[IndexableMediaTypes]\ntext/*\npdf\n\n[NonIndexableMediaTypes]\n<> more\naudio/*\n[CommonMediaTypes]\npdf\n")
