@@ -4,6 +4,7 @@ import os
 
 import pytest
 from helpers import record, records
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from crawlweft import schemas
@@ -78,6 +79,43 @@ def test_gzip_bodies_are_written_without_a_folder_for_each_key(spark, tmp_path):
     assert sorted(got["k1"].split(b"\n")) == [b"", b"more", b"text 1"]
 
 
+def test_gzip_bodies_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bodies, "BATCH_ROWS", 7)
+    monkeypatch.setattr(bodies, "LISTED_ROWS", 5)
+    folder, want = tmp_path / "a b%20c+d", {}
+    for i in range(60):
+        key = f"{'/'.join('xyz'[: i % 4])}/k {i}%2B+é".lstrip("/")
+        want[key] = f"text {i}\r\n\0".encode("utf-16") * (i % 3)
+        (folder / key).parent.mkdir(parents=True, exist_ok=True)
+        (folder / f"{key}.gz").write_bytes(gzip.compress(want[key]))
+    (folder / "x" / "twice.gz").write_bytes(gzip.compress(b"one") + gzip.compress(b"two"))
+    (folder / "x" / "plain").write_bytes(b"as it is")
+    for name in ("x/empty.gz", ".hidden.gz", "_hidden.gz", "x/part.gz._COPYING_"):
+        (folder / name).write_bytes(b"")
+    (folder / "_folder").mkdir()
+    (folder / "_folder" / "k.gz").write_bytes(gzip.compress(b"hidden"))
+    (folder / "_k=1.gz").write_bytes(gzip.compress(b"seen"))
+    want |= {"x/twice": b"onetwo", "x/plain": b"as it is", "_k=1": b"seen"}
+    got = bodies.read_gzip_bodies(spark, f"{folder}/")
+    assert not [x for x in got.inputFiles() if "/k%20" in x]  # no list of the files on the driver
+    assert sorted((r["content_key"], bytes(r["bytes"])) for r in got.collect()) == sorted(want.items())
+    assert got.columns == ["content_key", "bytes"]
+    monkeypatch.setattr(bodies, "_is_open_folder", lambda uri: False)  # by Spark's own reader
+    assert sorted((r["content_key"], bytes(r["bytes"])) for r in bodies.read_gzip_bodies(spark, str(folder)).collect()) == sorted(want.items())
+
+
+def test_gzip_bodies_of_patterns_and_missing_folders(spark, tmp_path):
+    for key in ("a/one", "b/two"):
+        (tmp_path / key).parent.mkdir(exist_ok=True)
+        (tmp_path / f"{key}.gz").write_bytes(gzip.compress(b"x"))
+    (tmp_path / "none").mkdir()
+    assert bodies.read_gzip_bodies(spark, f"{tmp_path}/[ab]").count() == 2
+    assert bodies.read_gzip_bodies(spark, f"file:{tmp_path}").count() == 2
+    assert bodies.read_gzip_bodies(spark, f"{tmp_path}/none").count() == 0
+    with pytest.raises(AnalysisException):
+        bodies.read_gzip_bodies(spark, f"{tmp_path}/missing")
+
+
 def test_rule_list(spark, tmp_path):
     file = tmp_path / "rules.txt"
     file.write_text("<> note\n[IndexableMediaTypes]\ntext/*\npdf\n\n[NonIndexableMediaTypes]\n<> more\naudio/*\n[CommonMediaTypes]\npdf\n")
