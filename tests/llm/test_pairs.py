@@ -238,6 +238,54 @@ def test_leader_without_the_passage_hides_no_copy(spark, monkeypatch, few):
     assert all(spans[i] in got[i, lead] for i, lead in pairs)
 
 
+@pytest.mark.parametrize("places", [substrings.PLACES, 8])  # at once, or dealt over blocks
+def test_edited_passages_at_keys_of_many_documents(spark, monkeypatch, places):
+    monkeypatch.setattr(substrings, "PLACES", places)
+    rng = random.Random(31)
+    rows = {}
+    for _ in range(4):
+        passage = prose(rng, 60, 10**6)  # edited so often that few documents share it, though all share its keys
+        for _ in range(4 * substrings.FEW):
+            rows[len(rows)] = prose(rng, 30, 10**6) + edited(rng, passage, 2) + prose(rng, 30, 10**6)
+    hashed = {i: Spans().shingles([w.encode() for w in ws], 5) for i, ws in rows.items()}
+    shared = {(i, j): substrings.shared_passages(hashed[i], hashed[j], 50, 5, 0.8) for i in rows for j in rows if j < i}  # brute force
+    pairs = {x for x, found in shared.items() if found}
+    got = {(r.doc_id, r.leader) for r in substrings.duplicate_passages(documents(spark, [(i, " ".join(ws)) for i, ws in rows.items()])).collect()}
+    assert len(pairs) > 1000 and got <= pairs
+    assert len(got) >= 0.97 * len(pairs)
+
+
+@pytest.mark.parametrize("places", [substrings.PLACES, 8])
+def test_words_that_the_leader_lacks(spark, monkeypatch, places):
+    monkeypatch.setattr(substrings, "PLACES", places)
+    rng = random.Random(32)
+    rows = {}
+    for _ in range(12):
+        passage = prose(rng, 70, 10**6)
+        for k in range(substrings.FEW + 4):
+            rows[len(rows)] = prose(rng, 30, 10**6) + passage[0 if k else 1 : 70 if k else 69] + prose(rng, 30, 10**6)
+    got = {r.doc_id: r.spans for r in substrings.passage_report(documents(spark, [(i, " ".join(ws)) for i, ws in rows.items()])).collect()}
+    for i, mask in covered(rows).items():
+        assert not any(mask) or [sum(mask)] == [b - a for a, b in got[i]]
+
+
+def test_alike():
+    rng = np.random.default_rng(33)
+    ids = np.array([4, 4, 5, 6, 7, 7, 8, 9])
+    mine = np.array([True, False, False, True, False, True, False, False])
+    for least in (1, 3, 9, 40):
+        tokens = [rng.integers(0, 40, rng.integers(0, 30)).astype(np.uint32) for _ in ids]
+        is_open = [rng.random(len(x)) < 0.3 for x in tokens]
+        want = set()
+        for a, b in ((a, b) for a in np.flatnonzero(mine) for b in np.flatnonzero(~mine) if ids[a] != ids[b]):
+            x, y = np.isin(tokens[a], tokens[b]), np.isin(tokens[b], tokens[a])
+            if max(x.sum(), y.sum()) >= least and (x & is_open[a]).any():
+                want.add((ids[a], ids[b]))
+        row = np.repeat(np.arange(len(ids)), [len(x) for x in tokens])
+        got = substrings.alike(ids, row, np.concatenate(tokens), np.concatenate(is_open), mine, least)
+        assert set(map(tuple, got.tolist())) == want
+
+
 def test_cut_passages(spark):
     rows = passage_rows(7)
     text = lambda ws: "Start. " + ", ".join(ws) + "!"
